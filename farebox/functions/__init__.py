@@ -6,6 +6,7 @@ from farebox.functions.time import (
     calendar_day,
     calendar_parts,
     elapsed_minutes,
+    elapsed_seconds,
     half_open,
     minute_number,
     month_start,
@@ -19,6 +20,7 @@ __all__ = [
     "calendar_day",
     "calendar_parts",
     "elapsed_minutes",
+    "elapsed_seconds",
     "from_units",
     "half_open",
     "minute_number",

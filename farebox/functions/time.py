@@ -41,9 +41,14 @@ def second_number(ts: Column | str) -> Column:
     return minute_number(ts) * 60 + F.second(_col(ts))
 
 
+def elapsed_seconds(start: Column | str, end: Column | str) -> Column:
+    """Whole seconds from ``start`` to ``end``, signed."""
+    return second_number(end) - second_number(start)
+
+
 def elapsed_minutes(start: Column | str, end: Column | str) -> Column:
     """Elapsed time in fractional minutes, from whole seconds."""
-    return (second_number(end) - second_number(start)) / F.lit(60.0)
+    return elapsed_seconds(start, end) / F.lit(60.0)
 
 
 def calendar_parts(ts: Column | str, *, day: bool = False, prefix: str = "pickup") -> list[Column]:

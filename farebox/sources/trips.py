@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
@@ -45,8 +46,8 @@ def _uniform_runs(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[
     """
     try:
         return [(list(paths), _merged_schema(spark, paths))]
-    except PySparkException:
-        if len(paths) == 1:
+    except (PySparkException, Py4JJavaError) as error:
+        if len(paths) == 1 or "CANNOT_MERGE" not in str(error):
             raise
     middle = len(paths) // 2
     return _uniform_runs(spark, paths[:middle]) + _uniform_runs(spark, paths[middle:])

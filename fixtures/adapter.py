@@ -2,55 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from farebox.schemas import POSITION, RAW_TRIPS, RAW_ZONES, conform
+from farebox.schemas import POSITION, position_columns
+
+_PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
+_TIP = f"{_PRICE} * CAST(l_discount AS DECIMAL(4,2))"
+_SECOND_OF_DAY = "(l_partkey * 7919 + l_suppkey * 104729 + l_linenumber * 611953) % 86400"
+_LENGTH = "(l_partkey * 131 + l_suppkey * 17 + l_linenumber * 1009) % 12600 - 300"
+_PICKUP = f"timestampadd(SECOND, IF(l_partkey % 97 <> 0, {_SECOND_OF_DAY}, NULL), o_orderdate)"
+_DROPOFF = f"timestampadd(SECOND, {_SECOND_OF_DAY} + {_LENGTH}, o_orderdate)"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One trip per line item, in the raw schema, with its position in the lineitem files."""
-    items = _table(spark, sf_dir, "lineitem").select(
-        "*",
-        F.xxhash64("_metadata.file_path").alias(POSITION[0]),
-        F.col("_metadata.row_index").alias(POSITION[1]),
-    )
+def raw_trips(spark: SparkSession, sf_dir: str, positions: bool = False) -> DataFrame:
+    """One trip per line item, in the raw schema, on request with its position in the lineitem files.
+
+    The two timestamps come out of a generator so that filters on them are not
+    rewritten in terms of their formulas, which would be computed again for each
+    use. Real trip files store them as columns.
+    """
+    items = _table(spark, sf_dir, "lineitem")
+    if positions:
+        items = items.selectExpr(
+            "*",
+            f"xxhash64(_metadata.file_path) AS {POSITION[0]}",
+            f"_metadata.row_index AS {POSITION[1]}",
+        )
     orders = _table(spark, sf_dir, "orders")
-    second_of_day = F.expr("(l_partkey * 7919 + l_suppkey * 104729 + l_linenumber * 611953) % 86400")
-    length = F.expr("(l_partkey * 131 + l_suppkey * 17 + l_linenumber * 1009) % 12600 - 300")
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    fare = price - F.lit(1500)
-    tip = price * F.col("l_discount").cast("decimal(4,2)")
-    surcharge = F.when(F.col("l_suppkey") % 25 == 0, F.lit("-3000").cast("decimal(6,2)")).otherwise(
-        F.lit("2.50").cast("decimal(6,2)")
+    trips = items.join(orders, items.l_orderkey == orders.o_orderkey).selectExpr(
+        "*",
+        f"inline(array(struct({_PICKUP} AS tpep_pickup_datetime, {_DROPOFF} AS tpep_dropoff_datetime)))",
     )
-    quantity = F.col("l_quantity").cast("bigint")
-
-    def at(seconds):
-        return F.timestamp_add("SECOND", seconds, F.col("o_orderdate"))
-
-    trips = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("l_linenumber").alias("VendorID"),
-        F.when(F.col("l_partkey") % 97 != 0, at(second_of_day)).alias("tpep_pickup_datetime"),
-        at(second_of_day + length).alias("tpep_dropoff_datetime"),
-        F.when(F.col("l_partkey") % 13 != 0, quantity % 6).alias("passenger_count"),
-        ((quantity - 2) / 2.0).alias("trip_distance"),
-        fare.alias("fare_amount"),
-        F.lit(0.5).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        tip.cast("decimal(18,2)").alias("tip_amount"),
-        F.lit(0.0).alias("tolls_amount"),
-        F.lit(1.0).alias("improvement_surcharge"),
-        (fare + tip + surcharge).cast("decimal(18,2)").alias("total_amount"),
-        F.col("l_suppkey").alias("PULocationID"),
-        (F.col("o_custkey") % 130).alias("DOLocationID"),
-        (F.col("l_linenumber") % 4 + 1).alias("payment_type"),
-        *POSITION,
+    return trips.selectExpr(
+        "CAST(l_linenumber AS BIGINT) AS VendorID",
+        "IF(l_partkey % 13 <> 0, CAST(CAST(l_quantity AS BIGINT) % 6 AS DOUBLE), NULL) AS passenger_count",
+        "tpep_pickup_datetime",
+        "tpep_dropoff_datetime",
+        "l_suppkey AS PULocationID",
+        "o_custkey % 130 AS DOLocationID",
+        "(CAST(l_quantity AS BIGINT) - 2) / 2.0D AS trip_distance",
+        f"CAST({_PRICE} - 1500 AS DOUBLE) AS fare_amount",
+        "0.5D AS extra",
+        "0.5D AS mta_tax",
+        f"CAST(CAST({_TIP} AS DECIMAL(18,2)) AS DOUBLE) AS tip_amount",
+        "0.0D AS tolls_amount",
+        "1.0D AS improvement_surcharge",
+        f"CAST(CAST({_PRICE} - 1500 + {_TIP} + IF(l_suppkey % 25 = 0, -3000.00, 2.50) AS DECIMAL(18,2)) AS DOUBLE)"
+        " AS total_amount",
+        "CAST(l_linenumber % 4 + 1 AS BIGINT) AS payment_type",
+        *position_columns(items),
     )
-    return conform(trips, RAW_TRIPS)
 
 
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,14 +63,12 @@ def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = _table(spark, sf_dir, "supplier").where("s_suppkey % 20 <> 7")
     nations = _table(spark, sf_dir, "nation")
     regions = _table(spark, sf_dir, "region")
-    named = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).join(
-        regions, F.col("n_regionkey") == F.col("r_regionkey")
+    named = suppliers.join(nations, suppliers.s_nationkey == nations.n_nationkey).join(
+        regions, nations.n_regionkey == regions.r_regionkey
     )
-    service = F.when(F.col("s_suppkey") % 3 == 0, "Zone A").when(F.col("s_suppkey") % 3 == 1, "Zone B").otherwise("N/A")
-    zones = named.select(
-        F.col("s_suppkey").alias("LocationID"),
-        F.col("r_name").alias("Borough"),
-        F.col("n_name").alias("Zone"),
-        service.alias("service_zone"),
+    return named.selectExpr(
+        "s_suppkey AS LocationID",
+        "r_name AS Borough",
+        "n_name AS Zone",
+        "CASE s_suppkey % 3 WHEN 0 THEN 'Zone A' WHEN 1 THEN 'Zone B' ELSE 'N/A' END AS service_zone",
     )
-    return conform(zones, RAW_ZONES)

@@ -1,0 +1,124 @@
+from collections import defaultdict
+from datetime import datetime, timedelta
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+from farebox.operators.gaps import max_gaps, merge_runs, minute_runs
+from farebox.plans.analytics import max_gap_by_zone_day
+from tests.conftest import at, rows
+
+SCHEMA = "pickup_zone string, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz"
+
+
+def minute(ts):
+    return int((ts.replace(second=0, microsecond=0) - datetime(1970, 1, 1)).total_seconds()) // 60
+
+
+def brute_force(trips):
+    groups = defaultdict(list)
+    for zone, pickup, dropoff in trips:
+        groups[pickup.date(), zone].append((pickup, dropoff))
+    out = {}
+    for key, found in groups.items():
+        found.sort(key=lambda t: (t[0], t[1] is not None, t[1] or t[0]))
+        gaps = [minute(b[0]) - minute(a[1]) for a, b in zip(found, found[1:]) if a[1] is not None]
+        if gaps:
+            out[key] = max(gaps)
+    return out
+
+
+def computed(spark, trips):
+    df = spark.createDataFrame(trips, SCHEMA)
+    return {(day, zone): gap for day, zone, gap in rows(max_gaps(minute_runs(df)))}
+
+
+def t(pickup, dropoff, zone="a"):
+    return zone, at(f"2023-01-05 {pickup}"), at(f"2023-01-05 {dropoff}") if dropoff else None
+
+
+def test_cases(spark):
+    cases = {
+        "one trip": [t("10:00:00", "10:10:00")],
+        "two": [t("10:00:00", "10:10:59"), t("10:30:00", "10:40:00")],
+        "boundary": [t("10:00:00", "10:10:59"), t("10:11:00", "10:40:00")],
+        "overlapping only": [t("10:00:00", "11:00:00"), t("10:05:00", "10:50:00"), t("10:06:00", "10:20:00")],
+        "copies": [t("10:00:00", "10:30:00")] * 3,
+        "same minute, last by second": [t("10:00:10", "10:50:00"), t("10:00:20", "10:02:00"), t("10:30:00", "10:31:00")],
+        "same pickup, last by dropoff": [t("10:00:10", "10:50:00"), t("10:00:10", "10:02:00"), t("10:30:00", "10:31:00")],
+        "NULL dropoff": [t("10:00:00", None), t("10:20:00", "10:30:00"), t("10:40:00", "10:41:00")],
+        "only NULL before": [t("10:00:00", None), t("10:20:00", "10:30:00")],
+    }
+    trips = [(name, p, d) for name, found in cases.items() for _, p, d in found]
+    trips.append((None, at("2023-01-05 10:00:00"), at("2023-01-05 10:01:00")))
+    trips.append((None, at("2023-01-05 10:20:00"), at("2023-01-05 10:21:00")))
+    out = {zone: gap for (_, zone), gap in computed(spark, trips).items()}
+    assert out == {
+        "two": 20,
+        "boundary": 1,
+        "overlapping only": -44,
+        "copies": -30,
+        "same minute, last by second": 28,
+        "same pickup, last by dropoff": -2,
+        "NULL dropoff": 10,
+        None: 19,
+    }
+    assert out == {zone: gap for (_, zone), gap in brute_force(trips).items()}
+
+
+def test_midnight_separates_days(spark):
+    trips = [
+        ("a", at("2023-01-05 23:50:00"), at("2023-01-06 00:10:00")),
+        ("a", at("2023-01-06 00:30:00"), at("2023-01-06 00:40:00")),
+        ("a", at("2023-01-06 01:00:00"), at("2023-01-06 01:10:00")),
+    ]
+    assert computed(spark, trips) == {(at("2023-01-06").date(), "a"): 20}
+
+
+START = datetime(2023, 1, 5, 23, 50)
+moments = st.builds(
+    lambda seconds, micros: START + timedelta(seconds=seconds, microseconds=micros),
+    st.integers(0, 1200),
+    st.sampled_from([0, 0, 1, 999_999]),
+)
+trips = st.lists(
+    st.tuples(st.sampled_from(["a", "b", None]), moments, st.one_of(st.none(), moments)), min_size=1, max_size=60
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(trips)
+def test_equals_brute_force(spark, found):
+    assert computed(spark, found) == brute_force(found)
+
+
+def test_names_may_be_joined_after_counting(spark):
+    found = [(i % 4, START + timedelta(seconds=17 * i), START + timedelta(seconds=17 * i + 90 * (i % 7))) for i in range(200)]
+    names = {0: "a", 1: "b", 2: "a", 3: None}
+    by_id = spark.createDataFrame(found, "pickup_location_id bigint, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz")
+    named = spark.createDataFrame(list(names.items()), "pickup_location_id bigint, pickup_zone string")
+    runs = merge_runs(minute_runs(by_id, "pickup_location_id").join(named, "pickup_location_id"))
+    out = {(day, zone): gap for day, zone, gap in rows(max_gaps(runs))}
+    assert out == brute_force([(names[i], p, d) for i, p, d in found])
+
+
+def test_report_takes_only_trips_inside_the_bounds(spark):
+    trips = [
+        ("a", at("2022-12-31 23:00:00"), at("2022-12-31 23:10:00")),
+        ("a", at("2023-01-01 00:00:00"), at("2023-01-01 00:10:00")),
+        ("a", at("2023-01-01 01:00:00"), at("2023-01-01 01:10:00")),
+        ("a", at("2024-01-01 00:00:00"), at("2024-01-01 00:10:00")),
+    ]
+    df = spark.createDataFrame(trips, SCHEMA)
+    assert rows(max_gap_by_zone_day(df)) == [(at("2023-01-01").date(), "a", 50)]
+
+
+def test_a_hot_zone_and_day_is_counted_before_it_is_gathered(spark):
+    """Three minutes of trips in one zone: what the window gathers is minutes, not trips."""
+    df = spark.range(30_000).selectExpr(
+        "'hot' AS pickup_zone",
+        "timestampadd(SECOND, CAST(id % 180 AS INT), TIMESTAMP_NTZ'2023-01-05 10:00:00') AS pickup_datetime",
+        "timestampadd(SECOND, CAST(id % 180 + 120 AS INT), TIMESTAMP_NTZ'2023-01-05 10:00:00') AS dropoff_datetime",
+    )
+    runs = minute_runs(df)
+    assert runs.count() == 3
+    assert rows(runs.agg({"trips": "sum"})) == [(30_000,)]
