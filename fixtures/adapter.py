@@ -6,14 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from farebox.schemas import POSITION, position_columns
 
-_PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
-_TIP = f"{_PRICE} * CAST(l_discount AS DECIMAL(4,2))"
+# Money in whole 1/100 and 1/10000 units: the decimal arithmetic of FIXTURES.md on BIGINT.
+_PRICE = "CAST(rint(l_extendedprice * 100) AS BIGINT)"
+_TIP = f"{_PRICE} * CAST(rint(l_discount * 100) AS BIGINT)"
+_TOTAL = f"{_PRICE} * 100 - 15000000 + {_TIP} + IF(l_suppkey % 25 = 0, -30000000, 25000)"
 _SECOND_OF_DAY = "(l_partkey * 7919 + l_suppkey * 104729 + l_linenumber * 611953) % 86400"
 _LENGTH = "(l_partkey * 131 + l_suppkey * 17 + l_linenumber * 1009) % 12600 - 300"
 _PICKUP = f"timestampadd(SECOND, IF(l_partkey % 97 <> 0, {_SECOND_OF_DAY}, NULL), o_orderdate)"
 _DROPOFF = f"timestampadd(SECOND, {_SECOND_OF_DAY} + {_LENGTH}, o_orderdate)"
 
 
+def _to_cents(units: str) -> str:
+    """Whole cents of 1/10000 units, a half rounded away from zero."""
+    return f"(({units}) + CAST(sign({units}) AS BIGINT) * 50) div 100"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -45,14 +52,13 @@ def raw_trips(spark: SparkSession, sf_dir: str, positions: bool = False) -> Data
         "l_suppkey AS PULocationID",
         "o_custkey % 130 AS DOLocationID",
         "(CAST(l_quantity AS BIGINT) - 2) / 2.0D AS trip_distance",
-        f"CAST({_PRICE} - 1500 AS DOUBLE) AS fare_amount",
+        f"({_PRICE} - 150000) / 100.0D AS fare_amount",
         "0.5D AS extra",
         "0.5D AS mta_tax",
-        f"CAST(CAST({_TIP} AS DECIMAL(18,2)) AS DOUBLE) AS tip_amount",
+        f"{_to_cents(_TIP)} / 100.0D AS tip_amount",
         "0.0D AS tolls_amount",
         "1.0D AS improvement_surcharge",
-        f"CAST(CAST({_PRICE} - 1500 + {_TIP} + IF(l_suppkey % 25 = 0, -3000.00, 2.50) AS DECIMAL(18,2)) AS DOUBLE)"
-        " AS total_amount",
+        f"{_to_cents(_TOTAL)} / 100.0D AS total_amount",
         "CAST(l_linenumber % 4 + 1 AS BIGINT) AS payment_type",
         *position_columns(items),
     )
