@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from farebox.functions.money import average, from_units, to_units, total
 from farebox.functions.time import calendar_day, calendar_parts
 from farebox.operators.enrich import ZoneDimension
 from farebox.operators.numbering import number_rows
+from farebox.operators.ranking import rank_descending
 from farebox.operators.zonal import zone_sums
 from farebox.schemas import FACT
 
@@ -43,7 +44,8 @@ def zone_performance(
 ) -> DataFrame:
     """Monthly KPI per pickup zone, with its revenue rank in the month.
 
-    The rank sees one row per zone, so its groups are bounded by the zones.
+    A month has one row per zone to rank, so a dimension that is too large to
+    broadcast may also make a month too large for one task.
     """
     if "pickup_year" not in trips.columns:
         trips = trips.select("*", *calendar_parts("pickup_datetime"))
@@ -58,8 +60,9 @@ def zone_performance(
     base = zone_sums(
         trips, ["pickup_zone", "pickup_borough"], ["pickup_year", "pickup_month"], sums, dimension
     )
-    in_month = Window.partitionBy("pickup_year", "pickup_month").orderBy(F.desc("revenue"))
-    return base.select(
+    few_zones = dimension is None or dimension.broadcastable
+    ranked = rank_descending(base, ["pickup_year", "pickup_month"], "revenue", "revenue_rank", few_zones)
+    return ranked.select(
         "pickup_zone",
         "pickup_borough",
         "pickup_year",
@@ -68,6 +71,6 @@ def zone_performance(
         F.try_divide("distance", "distances").alias("avg_trip_distance"),
         F.try_divide(from_units(F.col("fare")), "fares").alias("avg_fare"),
         from_units(F.col("revenue")).alias("total_revenue"),
-        F.rank().over(in_month).cast("bigint").alias("revenue_rank"),
+        "revenue_rank",
         (F.col("total_trips") > high_volume).alias("is_high_volume_zone"),
     )
