@@ -1,7 +1,7 @@
 """Time arithmetic on TIMESTAMP_NTZ columns.
 
-Everything here is built from calendar fields of the local timestamp, so no
-result depends on the session time zone, and all of it runs in generated code.
+Everything here reads the clock of the local timestamp, so no result depends on
+the session time zone, and all of it runs in generated code.
 """
 
 from __future__ import annotations
@@ -20,11 +20,21 @@ def calendar_day(ts: Column | str) -> Column:
     return F.to_date(_col(ts))
 
 
-def minute_number(ts: Column | str) -> Column:
-    """Whole minutes from 1970-01-01 to the minute that contains ``ts``."""
+def second_number(ts: Column | str) -> Column:
+    """Whole seconds from 1970-01-01 to the second that contains ``ts``.
+
+    ``unix_timestamp`` reads a local timestamp's own clock with one division, but
+    rounds toward 1970. Earlier instants are put together from calendar fields.
+    """
     ts = _col(ts)
     days = F.unix_date(F.to_date(ts)).cast("bigint")
-    return days * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    from_fields = days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.when(ts < _ntz(datetime(1970, 1, 1)), from_fields).otherwise(F.unix_timestamp(ts))
+
+
+def minute_number(ts: Column | str) -> Column:
+    """Whole minutes from 1970-01-01 to the minute that contains ``ts``."""
+    return F.floor(second_number(ts) / 60)
 
 
 def boundary_minutes(start: Column | str, end: Column | str) -> Column:
@@ -36,11 +46,6 @@ def boundary_minutes(start: Column | str, end: Column | str) -> Column:
     return minute_number(end) - minute_number(start)
 
 
-def second_number(ts: Column | str) -> Column:
-    """Whole seconds from 1970-01-01 to the second that contains ``ts``."""
-    return minute_number(ts) * 60 + F.second(_col(ts))
-
-
 def elapsed_seconds(start: Column | str, end: Column | str) -> Column:
     """Whole seconds from ``start`` to ``end``, signed."""
     return second_number(end) - second_number(start)

@@ -44,15 +44,16 @@ def max_gaps(runs: DataFrame) -> DataFrame:
     it has two trips or more, and the next run's minute less its dropoff minute.
     Zone and date pairs with a single trip have no gap and no row.
     """
-    day = F.to_date("last_pickup").alias("trip_date")
-    sequence = Window.partitionBy("pickup_zone", "trip_date").orderBy("last_pickup", "dropoff_minute")
-    gaps = runs.select(*_KEYS, "trips", "last_pickup", day).withColumn(
-        "previous_dropoff_minute", F.lag("dropoff_minute").over(sequence)
-    )
+    dated = runs.withColumn("trip_date", F.to_date("last_pickup"))
+    # The hash leads the sort order: most comparisons end at its eight bytes.
+    keyed = dated.withColumn("_group", F.xxhash64("trip_date", "pickup_zone"))
+    sequence = Window.partitionBy("_group", "trip_date", "pickup_zone").orderBy("last_pickup", "dropoff_minute")
+    gaps = keyed.withColumn("previous_dropoff_minute", F.lag("dropoff_minute").over(sequence))
     inside = F.when(F.col("trips") > 1, F.col("pickup_minute") - F.col("dropoff_minute"))
     from_previous = F.col("pickup_minute") - F.col("previous_dropoff_minute")
     return (
-        gaps.groupBy("trip_date", "pickup_zone")
+        gaps.groupBy("_group", "trip_date", "pickup_zone")
         .agg(F.max(F.greatest(inside, from_previous)).alias("max_gap_minutes"))
         .where(F.col("max_gap_minutes").isNotNull())
+        .drop("_group")
     )

@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from farebox.schemas import POSITION
 
 BLOCK_ROWS = 1 << 20
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def _running_total_before(count: str, window) -> Column:
@@ -58,8 +59,9 @@ def number_rows(
 def read_numbered(spark: SparkSession, path: str, schema: StructType, name: str) -> DataFrame:
     """Read written Parquet rows with dense ids: offset of the file + row index in it.
 
-    Counting rows per file reads footers only. Offsets are one row per file; they
-    are joined without a hint, so Spark broadcasts them if their size allows.
+    Counting rows per file reads footers only. There is one offset per file, so
+    the listing the driver already holds gives their size: they are broadcast up
+    to a bound, and meet the rows in a shuffle on the file beyond it.
     """
     written = spark.read.schema(schema).parquet(path)
     placed = written.select(
@@ -67,4 +69,6 @@ def read_numbered(spark: SparkSession, path: str, schema: StructType, name: str)
     )
     counts = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     starts = counts.select("_file", _running_total_before("_n", Window.orderBy("_file")).alias("_start"))
+    if sum(len(file) + 64 for file in written.inputFiles()) <= BROADCAST_BYTES:
+        starts = F.broadcast(starts)
     return placed.join(starts, "_file").select((F.col("_start") + F.col("_row") + 1).alias(name), *schema.names)

@@ -90,7 +90,10 @@ def max_gap_by_zone_day(
     else:
         per_id = minute_runs(selected, "pickup_location_id")
         runs = merge_runs(name_zones(per_id, dimension, ["pickup"]))
-    return max_gaps(runs).orderBy("trip_date", F.desc("max_gap_minutes"))
+    # A global sort samples its input by running it. With a shuffle of the result
+    # rows in between, the sample reads those and the window runs once.
+    gaps = max_gaps(runs).repartition("trip_date")
+    return gaps.orderBy("trip_date", F.desc("max_gap_minutes"))
 
 
 def day_summary(trips: DataFrame, day: date | str) -> DataFrame:

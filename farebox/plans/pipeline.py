@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
@@ -47,9 +48,10 @@ class QualityError(RuntimeError):
     """A data check found violating rows."""
 
 
-def work_dir(spark: SparkSession, default: str) -> str:
-    """The shared folder the cluster names for intermediate tables, else ``default``."""
-    return spark.conf.get("spark.checkpoint.dir", None) or default
+def work_dir(spark: SparkSession, output_dir: str) -> str:
+    """Folder of intermediate tables: in the shared folder the cluster names, apart per output."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared}/{sha256(output_dir.encode()).hexdigest()[:16]}" if shared else f"{output_dir}/_work"
 
 
 def build_relations(spark: SparkSession, conf: PipelineConfig) -> dict[str, DataFrame]:

@@ -74,7 +74,7 @@ def read_trips(
     costs nothing unless a later step reads it.
     """
     listed = reduce(DataFrame.union, (list_files(spark, pattern) for pattern in patterns))
-    paths = [row.path for row in listed.distinct().orderBy("path").collect()]
+    paths = sorted({row.path for row in listed.collect()})
     if not paths:
         raise FileNotFoundError(f"no trip files behind {list(patterns)}")
     groups: dict[str, tuple[StructType, list[str]]] = {}

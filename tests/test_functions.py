@@ -30,6 +30,7 @@ SPANS = [
     ("2023-01-05 10:00:00", "2023-01-05 09:59:59", -1, -1 / 60),
     ("2022-12-31 23:59:30", "2023-01-01 00:00:10.900000", 1, 40 / 60),
     ("1969-12-31 23:58:30", "1970-01-01 00:00:00", 2, 1.5),
+    ("1969-12-31 23:57:59.500000", "1969-12-31 23:59:59.900000", 2, 2.0),
     (None, "2023-01-05 10:00:00", None, None),
 ]
 

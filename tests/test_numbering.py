@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from farebox.operators import numbering
 from farebox.operators.enrich import enrich, measure_zones, valid_trips
 from farebox.operators.numbering import number_rows, read_numbered
 from farebox.operators.staging import stage_trips, stage_zones
@@ -35,15 +36,23 @@ def test_no_rows(spark):
     assert rows(number_rows(positioned(spark, {1: [1]}).where("x < 0"), "id")) == []
 
 
-def test_written_rows_get_dense_ids_without_a_shuffle(spark, tmp_path, conf):
+def test_written_rows_get_dense_ids_without_a_shuffle(spark, tmp_path, conf, monkeypatch):
     path = str(tmp_path / "t")
     df = spark.range(1000).select("id", (F.col("id") % 3).alias("part"), F.lit("same").alias("text"))
     df.repartition(7).write.partitionBy("part").parquet(path)
     schema = spark.read.parquet(path).select("id", "text", "part").schema
     numbered = read_numbered(spark, path, schema, "row_id")
     assert numbered.columns == ["row_id", "id", "text", "part"]
+    plan = plan_of(numbered)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert sorted(r[0] for r in rows(numbered.select("row_id"))) == list(range(1, 1001))
     assert numbered.select("id").distinct().count() == 1000
+    # Beyond the bound of the broadcast the ids are the same.
+    monkeypatch.setattr(numbering, "BROADCAST_BYTES", 0)
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    shuffled = read_numbered(spark, path, schema, "row_id")
+    assert "SortMergeJoin" in plan_of(shuffled)
+    assert sorted(rows(shuffled)) == sorted(rows(numbered))
     # Splitting files otherwise changes nothing.
     before = sorted(rows(numbered.select("row_id", "id")))
     conf("spark.sql.files.maxPartitionBytes", "300")

@@ -83,4 +83,6 @@ def test_a_failing_check_stops_the_run_before_the_summary(spark, sources, make_t
 
 
 def test_work_is_kept_in_the_shared_folder_of_the_session(spark):
-    assert work_dir(spark, "elsewhere") == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert work_dir(spark, "a").startswith(shared + "/")
+    assert work_dir(spark, "a") == work_dir(spark, "a") != work_dir(spark, "b")

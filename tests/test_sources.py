@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from farebox.schemas import POSITION, RAW_TRIPS
+from farebox.sinks import publish_view, save_table
 from farebox.sources import (
     MissingSource,
     freshness,
@@ -149,7 +150,16 @@ def test_profile_of_nothing(make_trips):
     assert rows(profile(make_trips({}).limit(0), TS)) == []
 
 
-def test_unsorted_month_pattern(make_trips, spark, tmp_path):
+def test_views_and_tables(spark, make_trips):
+    trips = make_trips({}, {})
+    publish_view(trips, "some_trips")
+    assert spark.sql("SELECT count(*) FROM some_trips").first()[0] == 2
+    for kept in (2, 1):
+        save_table(trips.limit(kept), "some_table")
+        assert spark.table("some_table").count() == kept
+    spark.sql("DROP TABLE some_table")
+
+
+def test_a_file_behind_two_patterns_is_read_once(make_trips, spark, tmp_path):
     path = write_month(make_trips(trip("2023-01-01 00:00:00", "2023-01-01 00:10:00")), tmp_path, "2023-01")
-    # The same file through two patterns is read once.
     assert read_trips(spark, path, f"{tmp_path}/*.parquet").count() == 1
