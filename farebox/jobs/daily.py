@@ -1,4 +1,4 @@
-"""Daily run: ``spark-submit -m``-style entry point for ``run_for_date``."""
+"""Daily run: check the source, rebuild the marts, test them, print the day."""
 
 from __future__ import annotations
 

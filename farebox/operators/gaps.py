@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from farebox.functions.time import minute_number
 
-_KEYS = ("pickup_zone", "pickup_minute", "dropoff_minute")
-
-
-def _counted(rows: Column, last: Column) -> list[Column]:
-    return [rows.alias("trips"), last.alias("last_pickup")]
-
-
 def minute_runs(trips: DataFrame, zone: str = "pickup_zone") -> DataFrame:
     """Trips counted per (zone, pickup minute, dropoff minute), with the last pickup.
 
@@ -26,12 +19,16 @@ def minute_runs(trips: DataFrame, zone: str = "pickup_zone") -> DataFrame:
         minute_number("dropoff_datetime").alias("dropoff_minute"),
         "pickup_datetime",
     )
-    return keyed.groupBy(zone, *_KEYS[1:]).agg(*_counted(F.count(F.lit(1)), F.max("pickup_datetime")))
+    return keyed.groupBy(zone, "pickup_minute", "dropoff_minute").agg(
+        F.count(F.lit(1)).alias("trips"), F.max("pickup_datetime").alias("last_pickup")
+    )
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:
     """Runs of several ids that share a zone name, added up."""
-    return runs.groupBy(*_KEYS).agg(*_counted(F.sum("trips"), F.max("last_pickup")))
+    return runs.groupBy("pickup_zone", "pickup_minute", "dropoff_minute").agg(
+        F.sum("trips").alias("trips"), F.max("last_pickup").alias("last_pickup")
+    )
 
 
 def max_gaps(runs: DataFrame) -> DataFrame:

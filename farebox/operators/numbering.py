@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from farebox.schemas import POSITION
 
-BLOCK_ROWS = 1 << 20
+BLOCK_ROWS = 1 << 18
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 

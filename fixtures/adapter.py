@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from farebox.schemas import POSITION, position_columns
 
@@ -21,8 +22,15 @@ def _to_cents(units: str) -> str:
     return f"(({units}) + CAST(sign({units}) AS BIGINT) * 50) div 100"
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the files once, not by a job in every query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def raw_trips(spark: SparkSession, sf_dir: str, positions: bool = False) -> DataFrame:

@@ -92,9 +92,10 @@ def test_equals_brute_force(spark, found):
 
 
 def test_names_may_be_joined_after_counting(spark):
-    found = [(i % 4, START + timedelta(seconds=17 * i), START + timedelta(seconds=17 * i + 90 * (i % 7))) for i in range(200)]
+    seconds = [(i % 4, 17 * i, 17 * i + 90 * (i % 7)) for i in range(200)]
+    found = [(i, START + timedelta(seconds=p), START + timedelta(seconds=d)) for i, p, d in seconds]
     names = {0: "a", 1: "b", 2: "a", 3: None}
-    by_id = spark.createDataFrame(found, "pickup_location_id bigint, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz")
+    by_id = spark.createDataFrame(found, SCHEMA.replace("pickup_zone string", "pickup_location_id bigint"))
     named = spark.createDataFrame(list(names.items()), "pickup_location_id bigint, pickup_zone string")
     runs = merge_runs(minute_runs(by_id, "pickup_location_id").join(named, "pickup_location_id"))
     out = {(day, zone): gap for day, zone, gap in rows(max_gaps(runs))}

@@ -9,7 +9,11 @@ from tests.conftest import rows
 @pytest.mark.parametrize("buckets", [2, 7, 256])
 def test_large_groups_rank_like_a_window(spark, buckets):
     rng = random.Random(buckets)
-    data = [(y, i, rng.choice([None, 5, 5, rng.randrange(50), rng.randrange(10**12)])) for y in (1, 2, None) for i in range(150)]
+
+    def value():
+        return rng.choice([None, 5, 5, rng.randrange(50), rng.randrange(10**12)])
+
+    data = [(y, i, value()) for y in (1, 2, None) for i in range(150)]
     df = spark.createDataFrame(data, "y int, id int, v bigint")
     expected = sorted(rows(rank_descending(df, ["y"], "v", "r")), key=str)
     assert len(expected) == 450
@@ -23,4 +27,5 @@ def test_large_groups_rank_like_a_window(spark, buckets):
 
 def test_groups_without_values(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, 3)], "y int, v bigint")
-    assert sorted(rows(rank_descending(df, ["y"], "v", "r", bounded=False)), key=str) == [(1, None, 1), (1, None, 1), (2, 3, 1)]
+    ranked = rank_descending(df, ["y"], "v", "r", bounded=False)
+    assert sorted(rows(ranked), key=str) == [(1, None, 1), (1, None, 1), (2, 3, 1)]
