@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from farebox.llm.simhash import op7_simhash_near_dedup
+from farebox.llm.suffix_dedup import op1_suffix_dedup
 
-_QUERIES = (op7_simhash_near_dedup,)
+_QUERIES = (
+    op1_suffix_dedup,
+    op7_simhash_near_dedup,
+)
 
 
 def queries() -> dict:

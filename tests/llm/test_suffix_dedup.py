@@ -1,0 +1,92 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+from farebox.llm import suffix_dedup
+from farebox.llm.deep_shallow import blind_trie, sort_suffixes
+
+
+def brute_force(rows, length=200):
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) from a count of all strings."""
+    texts = [(r[0], (r[1] or "").encode()) for r in rows]
+    seen = Counter(t[p : p + length] for _, t in texts for p in range(len(t) - length + 1))
+    out = []
+    for doc_id, t in texts:
+        gone = np.zeros(len(t) + 2, dtype=np.int8)
+        for p in range(len(t) - length + 1):
+            if seen[t[p : p + length]] > 1:
+                gone[p + 1 : p + length + 1] = 1
+        inner = gone[1:-1].astype(bool)
+        kept = np.frombuffer(t, np.uint8)[~inner].tobytes()
+        out.append((doc_id, len(t), int(inner.sum()), int((np.diff(gone) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("alphabet, n", [(b"ab", 2000), (b"a", 300), (bytes(range(256)), 3000)])
+def test_sorted_suffixes(alphabet, n):
+    rng = random.Random(n)
+    block = bytes(rng.choice(alphabet) for _ in range(n))
+    data = block + block[: n // 2] + bytes(rng.choice(alphabet) for _ in range(50)) + block + bytes(100)
+    starts = np.array(rng.sample(range(len(data) - 100), min(1500, len(data) - 100)))
+    order, lcp = sort_suffixes(np.frombuffer(data, np.uint8), starts, 100)
+    cut = [data[s : s + 100] for s in starts[order].tolist()]
+    assert cut == sorted(cut) and sorted(order.tolist()) == list(range(len(starts)))
+    for i in range(1, len(cut)):
+        same = next((k for k in range(100) if cut[i][k] != cut[i - 1][k]), 100)
+        assert lcp[i] == same
+
+
+def test_blind_trie():
+    data = b"xxab0xxab1xxac0xxab0" + bytes(8)
+    order, lcp = blind_trie(data, [0, 5, 10, 15], 2, 5)
+    assert [data[[0, 5, 10, 15][i] :][:5] for i in order] == [b"xxab0", b"xxab0", b"xxab1", b"xxac0"]
+    assert lcp[1:] == [5, 4, 3]
+
+
+@pytest.mark.parametrize("key_segments", [suffix_dedup.KEY_SEGMENTS, 1])
+def test_equals_brute_force_on_a_table(spark, key_segments, monkeypatch):
+    monkeypatch.setattr(suffix_dedup.repeated_starts, "__defaults__", (suffix_dedup.LENGTH, key_segments))
+    table = pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["doc_id", "text"]).to_pandas()
+    rows = [(int(a), b) for a, b in zip(table.doc_id, table.text)]
+    rng = random.Random(5)
+    base = rows[3][1] * 2
+    for k in range(30):  # near copies, whose edits leave repeats of many lengths
+        at = rng.randrange(len(base))
+        rows.append((1000 + k, base[:at] + f"#{k}#" + base[at + rng.randrange(300) :]))
+    rows += [(2000, "é" * 150 + "è"), (2001, "x" + "é" * 150 + "ê"), (2002, "ab " * 1000), (2003, "y" * 199), (2004, "y" * 199), (2005, "z" * 200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(suffix_dedup.suffix_dedup(df)) == brute_force(rows)
+
+
+def test_steps_agree():
+    rng = np.random.default_rng(2)
+    data = rng.integers(97, 100, 5000, dtype=np.uint8)
+    offsets = np.array([0, 0, 150, 2000, 2100, 5000])
+    whole = [x.tolist() for x in suffix_dedup.anchor_runs(data, offsets)]
+    assert whole == [x.tolist() for x in suffix_dedup.anchor_runs(data, offsets, step=97)]
+    starts = [p for a, b in zip(whole[1], whole[2]) for p in range(a, b + 1)]
+    assert starts == [p for a, b in zip(offsets, offsets[1:]) for p in range(a, b - 199)]
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    long = "".join(chr(97 + i * i % 26) for i in range(400))
+    rows = [(1, None, 1, "k"), (2, "", 1, None), (3, long, 2, "s"), (3, long, 2, "s"), (None, "only " * 10, 0, "x"), (None, long[:250] + "tail", 0, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row_key int, spans string")
+    assert found(suffix_dedup.suffix_dedup(df)) == brute_force(rows)
+    out = suffix_dedup.dedup_texts(df)
+    assert out.columns == df.columns
+    texts = sorted((str(r.doc_id), r.text) for r in out.collect())
+    assert texts == [("1", None), ("2", ""), ("3", ""), ("3", ""), ("None", "only " * 10), ("None", "tail")]
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "doc_id long, text string, n_chars int")
+    assert suffix_dedup.suffix_dedup(df).count() == 0 and suffix_dedup.dedup_texts(df).count() == 0
