@@ -1,0 +1,110 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+from farebox.llm import quality_rules as rules
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_stats(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    seen, covered = Counter(grams), set()
+    for i, g in enumerate(grams):
+        if seen[g] > 1:
+            covered |= {i, i + 1, i + 2}
+    n, r = len(words), len(covered)
+    return n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), r, n < 50 or 100 * r > 50 * n
+
+
+def rows_of(sf="0.001"):
+    t = pq.read_table(f"/root/testdata/sf{sf}/documents.parquet").to_pandas()
+    return [(int(a), b, c, d) for a, b, c, d in zip(t.doc_id, t.text, t.lang, t.source)]
+
+
+SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+def test_stats_equal_plain_ones(spark):
+    odd = ["", None, " \n ", "a", "a b", "a a a", "a a a a", "x y z x y z", "A\x1cB\x85c d", "😀 é # <|>\n\n#\n#\r\n#", "l1\nl1\n \nl1 \n", "w " * 3000]
+    rows = rows_of() + [(-i, t, "en", None) for i, t in enumerate(odd)]
+    out = rules.with_stats(spark.createDataFrame(rows, SCHEMA)).collect()
+    for r in out:
+        assert tuple(r[c] for c in (*rules.STATS, "base_failed")) == plain_stats(r.text), r.text
+
+
+def test_verdict_equals_numpy_minimum_determinant(spark):
+    """The same concentration steps over the same vectors, row by row in numpy."""
+    rows = rows_of("0.01")
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = rules.quality_rules(df).collect()
+    stats = rules.with_vector(rules.with_stats(df)).toPandas()
+    names = list(rules.NOISE)
+    good = stats[~stats.base_failed]
+    floor = np.diag([rules.NOISE[n] ** 2 for n in names])
+    size, kept, distance = good.groupby(["lang", "source"]).size(), {}, {}
+    group = [(l, s) if size[l, s] >= rules.MIN_GROUP else (l if size[l].where(size[l] < rules.MIN_GROUP, 0).sum() >= rules.MIN_GROUP else "all") for l, s in zip(good.lang, good.source)]
+    for g in set(group):
+        part = good[[x == g for x in group]]
+        x = part[names].to_numpy()
+        d2 = lambda m, c, v: np.einsum("ij,jk,ik->i", v - m, np.linalg.inv(c), v - m)
+        best = None
+        med = np.sort(x, axis=0)[(len(x) - 1) // 2]
+        mad = np.sort(abs(x - med), axis=0)[(len(x) - 1) // 2] * 1.4826
+        for m, c in ((med, np.diag(mad**2) + floor), (x.mean(axis=0), np.cov(x.T, bias=True) + floor)):
+            before = None
+            for _ in range(rules.STEPS):
+                bins = np.floor(np.log(d2(m, c, x) + 1e-9) * rules.BINS)
+                near = x[bins <= np.sort(bins)[int(np.ceil(len(x) * rules.HALF)) - 1]]
+                m, c = near.mean(axis=0), np.cov(near.T, bias=True) * rules.consistency(rules.HALF, len(names)) + floor
+            det = np.linalg.slogdet(c)[1]
+            if best is None or det < best[0] - 1e-9:
+                best = det, m, c
+        near = x[d2(best[1], best[2], x) <= rules.chi2_quantile(0.975, len(names))]
+        m, c = near.mean(axis=0), np.cov(near.T, bias=True) * rules.consistency(0.975, len(names)) + floor
+        distance |= dict(zip(part.doc_id, d2(m, c, x)))
+    limit = rules.chi2_quantile(1 - rules.TAIL, len(names))
+    agree = 0
+    for r in out:
+        if r.doc_id in distance:
+            agree += r.kept == (distance[r.doc_id] <= limit)
+        else:
+            assert r.base_failed and not r.kept
+    assert agree >= 0.998 * len(distance)
+
+
+def test_junk_goes_and_clean_text_stays(spark):
+    out = rules.quality_rules(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    n = {(r.quality, r.kept): r["count"] for r in out.where("not base_failed").join(labels, "doc_id").groupBy("quality", "kept").count().collect()}
+    assert n.get((1, False), 0) <= 0.002 * n[1, True] and n.get((0, True), 0) <= 0.02 * n[0, False]
+
+
+def test_chi2():
+    assert rules.chi2_cdf(4.351, 5) == pytest.approx(0.5, abs=1e-3)
+    assert rules.chi2_quantile(0.975, 5) == pytest.approx(12.8325, abs=1e-3)
+    assert rules.chi2_quantile(0.9999, 5) == pytest.approx(25.745, abs=1e-2)
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    rng = random.Random(1)
+    text = lambda: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(80)) + "."
+    rows = [(i, text(), None if i % 2 else "en", None, 1) for i in range(20)]
+    rows += [rows[0]] * 3 + [(None, None, None, None, 2), (50, "", "en", "s", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_words int")
+    out = rules.quality_rules(df)
+    assert sorted((str(r.doc_id), r.kept) for r in out.collect()) == sorted((str(r[0]), bool(r[1])) for r in rows)
+    kept = rules.keep_good(df)
+    assert kept.columns == df.columns and kept.count() == 23
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert rules.quality_rules(df).count() == 0 and rules.keep_good(df).count() == 0
