@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from farebox.llm.mixing import op9_mixing
 from farebox.llm.quality_rules import op2_quality_rules
 from farebox.llm.simhash import op7_simhash_near_dedup
 from farebox.llm.suffix_dedup import op1_suffix_dedup
@@ -10,6 +11,7 @@ _QUERIES = (
     op1_suffix_dedup,
     op2_quality_rules,
     op7_simhash_near_dedup,
+    op9_mixing,
 )
 
 
