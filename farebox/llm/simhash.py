@@ -8,20 +8,18 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from farebox.llm.components import components, forest
-from farebox.llm.shared import Scratch, fresh, row_key, table
+from farebox.llm.shared import Scratch, fresh, parts_of, row_key, table
 
 #: Fixed value: generator x^11+x^10+x^6+x^5+x^4+x^2+1 of the binary Golay code.
 #: It is perfect: each of the 2^23 words has exactly one codeword within 3 bits.
 GOLAY, BITS, CHECKS, RADIUS = 0b110001110101, 23, 11, 3
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
-#: Fingerprints of one anchor that one comparison task takes of either side.
+#: Homes of one anchor that meet its copies in one cell, about.
 BLOCK = 4096
-#: Rows that a comparison task takes over all its anchors, about.
-TASK_ROWS = 200_000
 
 
 def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int:
@@ -74,8 +72,19 @@ def _coset(extra: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return patterns[np.argsort(of, kind="stable")], np.cumsum(counts) - counts, counts
 
 
-def anchors(words: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(position, anchor, home) of the codewords each fingerprint is copied to.
+def _halves(words: np.ndarray) -> list[np.ndarray]:
+    return [(words >> np.uint64(shift) & np.uint64((1 << BITS) - 1)).astype(np.int64) for shift in (0, BITS)]
+
+
+def homes(words: np.ndarray) -> np.ndarray:
+    """The one codeword within the covering radius of each fingerprint."""
+    pattern = _coset(0)[0]
+    a, b = (h ^ pattern[_syndromes()[h]] for h in _halves(words))
+    return a | b << BITS
+
+
+def anchors(words: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """(position, anchor) of the codewords each fingerprint is copied to.
 
     The code is the product of two Golay codes on bits 0-22 and 23-45. Each
     fingerprint has one home within the covering radius (3 bits a half). If two
@@ -83,10 +92,9 @@ def anchors(words: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np
     threshold of the other, with the excess over both halves at most
     ``max_bits``: all those anchors are returned.
     """
-    halves = [words & ((1 << BITS) - 1), words >> np.uint64(BITS) & ((1 << BITS) - 1)]
-    halves = [h.astype(np.int64) for h in halves]
+    halves = _halves(words)
     syndromes = [_syndromes()[h].astype(np.int64) for h in halves]
-    rows, keys, home = [], [], []
+    rows, keys = [], []
     for i in range(max_bits + 1):
         for j in range(max_bits + 1 - i):
             (p, p0, pn), (q, q0, qn) = _coset(i), _coset(j)
@@ -97,8 +105,12 @@ def anchors(words: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np
             b = halves[1][row] ^ q[q0[syndromes[1][row]] + k % m[row]]
             rows.append(row)
             keys.append(a | b << BITS)
-            home.append(np.full(len(row), i == j == 0))
-    return np.concatenate(rows), np.concatenate(keys), np.concatenate(home)
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def _home_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame({"anchor": homes(batch["fp"].to_numpy(np.int64).view(np.uint64))})
 
 
 def _replicate(max_bits: int):
@@ -106,17 +118,24 @@ def _replicate(max_bits: int):
         for batch in batches:
             for at in range(0, len(batch), 4096):
                 words = batch["fp"].to_numpy(np.int64)[at : at + 4096]
-                row, key, home = anchors(words.view(np.uint64), max_bits)
-                yield pd.DataFrame({"anchor": key, "fp": words[row], "home": home})
+                row, key = anchors(words.view(np.uint64), max_bits)
+                yield pd.DataFrame({"anchor": key, "fp": words[row]})
 
     return run
 
 
+def _is_home() -> Column:
+    mask = (1 << BITS) - 1
+    part = lambda c, shift: F.shiftrightunsigned(c, shift).bitwiseAND(mask)
+    apart = lambda shift: F.bit_count(part("fp", shift).bitwiseXOR(part("anchor", shift)))
+    return (apart(0) <= RADIUS) & (apart(BITS) <= RADIUS)
+
+
 def _compare(max_bits: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        """Links between homes and copies at the same anchor and block, as a forest."""
-        group = group.sort_values(["anchor", "block"], kind="stable")
-        new = (group["anchor"].diff().ne(0) | group["block"].diff().ne(0)).to_numpy()
+        """Links between homes and copies at the same anchor and cell, as a forest."""
+        group = group.sort_values(["anchor", "cell"], kind="stable")
+        new = (group["anchor"].diff().ne(0) | group["cell"].diff().ne(0)).to_numpy()
         of, fp, home = np.cumsum(new) - 1, group["fp"].to_numpy(np.int64), group["home"].to_numpy(bool)
         homes, owner = fp[home], of[home]
         count = np.bincount(owner, minlength=of[-1] + 1) if len(of) else np.zeros(1, int)
@@ -144,27 +163,25 @@ def _compare(max_bits: int):
 def links(prints: DataFrame, max_bits: int, scratch: Scratch, block: int = BLOCK) -> DataFrame:
     """Edges (u, v) with the same components as all pairs within ``max_bits``.
 
-    ``prints`` holds each fingerprint once (column fp). An anchor with more than
-    ``block`` fingerprints is dealt out in blocks: homes and copies are cut by
-    hash, and each block of one side meets each block of the other in some task.
+    ``prints`` holds each fingerprint once (column fp). Homes are counted by anchor
+    first; a copy goes on only where its anchor is some fingerprint's home. An
+    anchor with more than ``block`` homes is dealt out on a grid: homes to columns
+    and copies to rows by hash, and each cell is compared in some task.
     """
     spark = scratch.spark
     prints = scratch.write(prints, "prints")
-    copies = prints.mapInPandas(_replicate(max_bits), "anchor long, fp long, home boolean")
-    sizes = copies.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("int")).alias("h"))
-    # an anchor that only one fingerprint reaches, or that is no one's home, links nothing
-    sizes = scratch.write(sizes.where("n > 1 and h > 0"), "anchors")
-    rows = sizes.agg(F.sum("n")).first()[0] or 0
-    buckets = max(1, rows // TASK_ROWS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cut = lambda count: F.ceil(F.col(count) / block).cast("int")
-    grid = lambda n, at: F.transform(F.sequence(F.lit(0), F.col(n) - 1), at)
-    near = copies.join(sizes, "anchor").withColumns({"rows": cut("n"), "cols": cut("h"), "r": F.xxhash64("fp")})
-    as_home = grid("rows", lambda x: F.struct((x * F.col("cols") + F.pmod("r", "cols")).cast("int").alias("block"), F.lit(True).alias("home")))
-    as_copy = grid("cols", lambda x: F.struct((F.pmod("r", "rows") * F.col("cols") + x).cast("int").alias("block"), F.lit(False).alias("home")))
-    one = F.array(F.struct(F.lit(0).alias("block"), F.col("home")))
-    dealt = F.when(F.col("rows") == 1, one).when(F.col("home"), F.concat(as_home, as_copy)).otherwise(as_copy)
-    near = near.select("anchor", "fp", F.explode(dealt).alias("to")).select("anchor", "fp", "to.block", "to.home")
-    near = near.withColumn("bucket", F.pmod(F.xxhash64("anchor", "block"), F.lit(buckets)))
+    sizes = prints.mapInPandas(_home_rows, "anchor long").groupBy("anchor").agg(F.count("*").alias("n"))
+    sizes = scratch.write(sizes.select("anchor", F.ceil(F.col("n") / block).cast("int").alias("cuts")), "homes")
+    met = prints.mapInPandas(_replicate(max_bits), "anchor long, fp long").join(sizes, "anchor")
+    met = met.withColumns({"home": _is_home(), "cut": F.pmod(F.xxhash64("fp"), "cuts")})
+    grid = lambda cell: F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), cell)
+    as_home = grid(lambda x: F.struct((x * F.col("cuts") + F.col("cut")).cast("int").alias("cell"), F.lit(True).alias("home")))
+    as_copy = grid(lambda x: F.struct((F.col("cut") * F.col("cuts") + x).cast("int").alias("cell"), F.lit(False).alias("home")))
+    one = F.array(F.struct(F.lit(0).alias("cell"), F.col("home")))
+    dealt = F.when(F.col("cuts") == 1, one).when(F.col("home"), F.concat(as_home, as_copy)).otherwise(as_copy)
+    near = met.select("anchor", "fp", F.explode(dealt).alias("to")).select("anchor", "fp", "to.cell", "to.home")
+    buckets = parts_of(spark)
+    near = near.withColumn("bucket", F.pmod(F.xxhash64("anchor", "cell"), F.lit(buckets)))
     return near.groupBy("bucket").applyInPandas(_compare(max_bits), "u long, v long")
 
 

@@ -59,10 +59,8 @@ def test_anchors_meet_for_every_near_pair():
     for i in range(len(y)):
         for bit in rng.choice(64, i % 3, replace=False):
             y[i] ^= np.uint64(1 << int(bit))
-    row, key, home = simhash.anchors(x)
-    homes = {int(r): int(k) for r, k, h in zip(row, key, home) if h}
-    assert len(homes) == len(x) and home.sum() == len(x)
-    row, key, _ = simhash.anchors(y)
+    homes = simhash.homes(x).tolist()
+    row, key = simhash.anchors(y)
     reached = set(zip(row.tolist(), key.tolist()))
     assert all((i, homes[i]) in reached for i in range(len(x)))
 
