@@ -227,8 +227,10 @@ def minimum_determinant(rows: DataFrame, scratch: Scratch) -> DataFrame:
 def _judged(stats: DataFrame, groups: DataFrame, estimates: DataFrame, tail: float) -> DataFrame:
     limit = chi2_quantile(1 - tail, len(NOISE))
     out = _grouped(stats, groups).join(estimates, "group", "left").withColumn("distance", _distance())
-    outlier = F.coalesce(F.col("distance") > limit, F.lit(False))
-    return out.withColumn("kept", ~F.col("base_failed") & ~outlier)
+    # one comparison over both sides of the join: a filter on it is not pushed below, where each
+    # reference would repeat the counting of words
+    worst = F.greatest(F.coalesce("distance", F.lit(0.0)), F.col("base_failed").cast("double") * 1e300)
+    return out.withColumn("kept", worst <= limit)
 
 
 def _fit(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
