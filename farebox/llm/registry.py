@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from farebox.llm.mixing import op9_mixing
+from farebox.llm.packing import op10_packing
 from farebox.llm.quality_rules import op2_quality_rules
 from farebox.llm.simhash import op7_simhash_near_dedup
 from farebox.llm.suffix_dedup import op1_suffix_dedup
@@ -12,11 +14,12 @@ _QUERIES = (
     op2_quality_rules,
     op7_simhash_near_dedup,
     op9_mixing,
+    op10_packing,
 )
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in _QUERIES}
+    return {f.__name__: f for f in _QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,0 +1,109 @@
+import itertools
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+from tokenizers import Tokenizer
+
+from farebox.llm import packing
+
+RANKS = public_tokenizers.path(packing.RANKS)
+
+
+def tokenizer():
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    return t
+
+
+def test_ids_equal_tokenizers():
+    t = tokenizer()
+    odd = ["", " ", "a", "  two  spaces \n\n\t", "<|endoftext|>", "é è 😀   ١٢٣ ñ", "don't we'll I'd", "x" * 3000, "=" * 700, "\x00\x7f", "日本語のテキスト"]
+    for text in odd + pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist():
+        assert packing.token_ids(text, RANKS).tolist() == t.encode(text, add_special_tokens=False).ids + [1]
+
+
+def test_fill_is_the_closest():
+    rng = random.Random(1)
+    for _ in range(200):
+        items = [rng.randint(1, 40) for _ in range(rng.randint(1, 8))]
+        first = max(items)
+        got = packing._fill(Counter(items), first, 60)
+        rest = list(items)
+        rest.remove(first)
+        best = max(first + sum(c) for k in range(len(rest) + 1) for c in itertools.combinations(rest, k) if first + sum(c) <= 60)
+        assert sum(got) == best and not Counter(got) - Counter(items)
+
+
+def test_plan_places_each_token_once():
+    rng = random.Random(2)
+    for _ in range(60):
+        counts = dict(Counter(rng.choices([rng.randint(1, 64) for _ in range(rng.randint(1, 9))], k=rng.randint(1, 400))))
+        tokens, filled = defaultdict(list), defaultdict(list)
+        for whole, low, high, start, part, number, each, sequence, offset in packing.plan(counts, 64, 2):
+            for i in range(high - low):
+                n = number + i
+                tokens[whole, low + i].append((start, part))
+                filled[sequence + n // each].append((offset + n % each * part, part))
+        assert set(tokens) == {(n, i) for n, c in counts.items() for i in range(c)}
+        for (whole, _), parts in tokens.items():
+            assert whole_run(parts) == whole
+        loose = [s for s in filled if whole_run(filled[s]) < 64 - 2]
+        assert all(whole_run(p) <= 64 for p in filled.values()) and len(loose) <= 1 and set(filled) == set(range(len(filled)))
+
+
+def whole_run(parts):
+    at = 0
+    for start, length in sorted(parts):
+        assert start == at
+        at += length
+    return at
+
+
+def check(rows, out, most_padding):
+    t = tokenizer()
+    ids = {}
+    for doc_id, text in rows:
+        ids.setdefault(doc_id, []).append(np.array([*t.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4"))
+    sequences, documents = defaultdict(list), defaultdict(list)
+    for r in out:
+        sequences[r.sequence_id].append((r.offset, r.length))
+        documents[r.doc_id].append(r)
+    for parts in sequences.values():
+        assert whole_run(parts) <= 2048
+    assert set(documents) == set(ids)
+    for doc_id, copies in ids.items():
+        spans = Counter((r.start, r.length) for r in documents[doc_id])
+        assert sum(a * b for (_, a), b in spans.items()) == sum(map(len, copies))
+        for r in documents[doc_id]:
+            assert any(len(c) == r.doc_tokens and zlib.crc32(c[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for c in copies)
+        if len(copies) == 1:
+            assert whole_run(spans) == len(copies[0])
+    total = sum(len(c) for copies in ids.values() for c in copies)
+    assert len(sequences) * 2048 - total <= most_padding
+
+
+def test_packs_a_table(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 50)
+    t = pq.read_table("/root/testdata/sf0.01/documents.parquet").to_pandas()
+    rows = [(int(a), b) for a, b in zip(t.doc_id, t.text)]
+    total = sum(map(len, t.text)) // 2
+    check(rows, packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect(), 2048 + total // 100)
+
+
+def test_cuts_where_no_lengths_fit(spark):
+    rows = [(i, "word " * 1099 + f"w{i % 3}") for i in range(60)]
+    check(rows, packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect(), 2048 + 60 * packing.SLACK)
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    rows = [(1, None), (2, ""), (3, "same text"), (3, "same text"), (None, "no id"), (None, None), (4, "long " * 5000)]
+    df = spark.createDataFrame([(*r, "x", 1.5) for r in rows], "doc_id long, text string, length string, part double")
+    check(rows, packing.pack(df).collect(), 2048)
+
+
+def test_empty(spark):
+    assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0

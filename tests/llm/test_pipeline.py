@@ -1,0 +1,77 @@
+"""The whole pipeline against brute-force versions of its stages on a small table."""
+
+import re
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+from farebox.llm import quality_rules
+from tests.llm.test_mixing import plain_targets
+from tests.llm.test_packing import tokenizer
+from tests.llm.test_simhash import plain_groups
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def without_repeats(texts, length=200):
+    data = [t.encode() for t in texts]
+    seen = Counter(t[p : p + length] for t in data for p in range(len(t) - length + 1))
+    out = []
+    for t in data:
+        gone = bytearray(len(t))
+        for p in range(len(t) - length + 1):
+            if seen[t[p : p + length]] > 1:
+                gone[p : p + length] = b"\1" * length
+        out.append(bytes(b for b, g in zip(t, gone) if not g).decode("utf-8", "ignore"))
+    return out
+
+
+def test_stages_and_run(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns = docs.columns
+    steps = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+        steps[name] = docs = spark.createDataFrame(docs.toPandas(), docs.schema)
+        assert name == "packing" or docs.columns == columns
+    verdicts = {r.doc_id: r.kept for r in quality_rules.quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()}
+    kept = {r.doc_id: r for r in steps["quality_rules"].collect()}
+    assert set(kept) == {i for i, k in verdicts.items() if k}
+
+    groups = plain_groups([(i, r.text) for i, r in kept.items()])
+    one = {r.doc_id: r for r in steps["simhash_near_dedup"].collect()}
+    assert set(one) == {g for _, _, g in groups}
+
+    ids = sorted(one)
+    clean = dict(zip(ids, without_repeats([one[i].text for i in ids])))
+    cut = {r.doc_id: r for r in steps["suffix_dedup"].collect()}
+    assert {i: r.text for i, r in cut.items()} == clean and all(r.n_chars == len(r.text) for r in cut.values())
+
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for r in cut.values():
+        sizes[r.source] += len(WORD.findall(r.text))
+    mixed = steps["mixing"].collect()
+    for r in mixed:
+        taken[r.source] += len(WORD.findall(r.text))
+        assert clean[r.doc_id].split()[: len(r.text.split())] == r.text.split()
+    assert all(abs(taken[s] - t) <= 1 for s, t in plain_targets(sizes).items())
+
+    t = tokenizer()
+    whole = Counter()
+    for r in mixed:
+        whole[r.doc_id] += len(t.encode(r.text, add_special_tokens=False).ids) + 1
+    pieces = Counter()
+    for r in steps["packing"].collect():
+        pieces[r.doc_id] += r.length
+    assert pieces == whole
+
+    rows = lambda df: sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in df.collect())
+    assert sum(r[2] for r in rows(corpus_pipeline.run(spark, sf_dir))) == sum(whole.values())
+
+
+def test_empty(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "")
+        assert out.count() == 0
+        docs = docs if out.columns != docs.columns else out
