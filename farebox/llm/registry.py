@@ -8,10 +8,13 @@ from farebox.llm.packing import op10_packing
 from farebox.llm.quality_rules import op2_quality_rules
 from farebox.llm.simhash import op7_simhash_near_dedup
 from farebox.llm.suffix_dedup import op1_suffix_dedup
+from farebox.llm.topk import ORACLE as TOPK_SQL
+from farebox.llm.topk import op6_exact_topk
 
 _QUERIES = (
     op1_suffix_dedup,
     op2_quality_rules,
+    op6_exact_topk,
     op7_simhash_near_dedup,
     op9_mixing,
     op10_packing,
@@ -23,4 +26,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_exact_topk": TOPK_SQL}
