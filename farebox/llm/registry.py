@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from farebox.llm.language_id import op5_language_id
 from farebox.llm.mixing import op9_mixing
 from farebox.llm.packing import op10_packing
 from farebox.llm.quality_rules import op2_quality_rules
@@ -14,6 +15,7 @@ from farebox.llm.topk import op6_exact_topk
 _QUERIES = (
     op1_suffix_dedup,
     op2_quality_rules,
+    op5_language_id,
     op6_exact_topk,
     op7_simhash_near_dedup,
     op9_mixing,
