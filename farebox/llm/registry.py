@@ -11,6 +11,7 @@ from farebox.llm.simhash import op7_simhash_near_dedup
 from farebox.llm.suffix_dedup import op1_suffix_dedup
 from farebox.llm.topk import ORACLE as TOPK_SQL
 from farebox.llm.topk import op6_exact_topk
+from farebox.llm.toxicity import op8_toxicity
 
 _QUERIES = (
     op1_suffix_dedup,
@@ -18,6 +19,7 @@ _QUERIES = (
     op5_language_id,
     op6_exact_topk,
     op7_simhash_near_dedup,
+    op8_toxicity,
     op9_mixing,
     op10_packing,
 )
