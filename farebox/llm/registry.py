@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import corpus_pipeline
 from farebox.llm.language_id import op5_language_id
+from farebox.llm.line_quality import op4_line_quality
 from farebox.llm.mixing import op9_mixing
 from farebox.llm.packing import op10_packing
 from farebox.llm.quality_rules import op2_quality_rules
 from farebox.llm.simhash import op7_simhash_near_dedup
 from farebox.llm.suffix_dedup import op1_suffix_dedup
+from farebox.llm.token_counts import op3_token_counts
 from farebox.llm.topk import ORACLE as TOPK_SQL
 from farebox.llm.topk import op6_exact_topk
 from farebox.llm.toxicity import op8_toxicity
@@ -16,6 +18,8 @@ from farebox.llm.toxicity import op8_toxicity
 _QUERIES = (
     op1_suffix_dedup,
     op2_quality_rules,
+    op3_token_counts,
+    op4_line_quality,
     op5_language_id,
     op6_exact_topk,
     op7_simhash_near_dedup,

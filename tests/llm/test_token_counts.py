@@ -1,0 +1,71 @@
+import itertools
+import random
+
+import public_tokenizers
+import pyarrow.parquet as pq
+import sentencepiece
+from tokenizers import Tokenizer, models
+
+from farebox.llm import token_counts as tc
+
+PATH = public_tokenizers.path(tc.MODEL)
+
+
+def unigram():
+    """The tokenizers library's unigram model over the same pieces and scores."""
+    sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    return Tokenizer(models.Unigram([(sp.id_to_piece(i), sp.get_score(i)) for i in range(sp.get_piece_size())], 0, True))
+
+
+def test_equals_the_unigram_tokenizer():
+    model, count = unigram(), tc.text_counter(PATH)
+    odd = [" ", "a", "  two  spaces \n\n\tx", "é è 😀   ١٢٣ ñ\x00", "x" * 300, "日本語のテキスト", "a▁b", "=====-----=====", "ab" * 200]
+    for text in odd + pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()[:60]:
+        whole = tc.SPACE + text.replace(" ", tc.SPACE)
+        assert count(text)[0] == len(model.encode(whole, add_special_tokens=False).ids), text
+
+
+def all_segmentations(text, pieces, least):
+    """Best (score, count); of equal scores the one whose last piece is the longest, and so on from the end."""
+    out = []
+    for cuts in itertools.product((0, 1), repeat=len(text) - 1):
+        bounds = [0, *(i + 1 for i, c in enumerate(cuts) if c), len(text)]
+        score, number = 0.0, 0
+        for a, b in itertools.pairwise(bounds):
+            part = text[a:b]
+            if part in pieces:
+                score, number = score + pieces[part], number + 1
+            elif b - a == 1:
+                score, number = score + least - tc.UNKNOWN_PENALTY, number + len(part.encode())
+            else:
+                break
+        else:
+            out.append((score, [b - a for a, b in itertools.pairwise(bounds)][::-1], number))
+    best = max(out)
+    return best[2], best[0]
+
+
+def test_equals_all_segmentations_with_many_ties():
+    rng = random.Random(1)
+    for _ in range(150):
+        pieces = {"".join(rng.choices("abé▁", k=rng.randint(1, 4))): float(-rng.randint(0, 3)) for _ in range(8)}
+        least = min(pieces.values())
+        text = "".join(rng.choices("abcé ", k=rng.randint(1, 9)))
+        whole = tc.SPACE + text.replace(" ", tc.SPACE)
+        assert tc.counter(pieces, least)(whole) == all_segmentations(whole, pieces, least)
+        assert tc.TextCounter(pieces, least)(text) == all_segmentations(whole, pieces, least)
+
+
+def test_a_full_memory_changes_nothing(monkeypatch):
+    monkeypatch.setattr(tc, "REMEMBERED", 3)
+    fresh = tc.TextCounter(*tc.vocabulary(PATH))
+    for text in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()[:5]:
+        assert fresh(text) == tc.text_counter(PATH)(text)
+
+
+def test_table_nulls_and_repeats(spark):
+    rows = [(1, None), (2, ""), (3, "same"), (3, "same"), (None, "no id"), (5, "long " * 30_000)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, score string")
+    out = sorted(((r.doc_id, r.n_tokens, r.score) for r in tc.token_counts(df).collect()), key=str)
+    assert out == sorted(((i, *tc.text_counter(PATH)(t)) for i, t in rows), key=str)
+    assert tc.token_counts(df.limit(0)).count() == 0
