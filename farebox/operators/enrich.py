@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from farebox.functions.time import calendar_parts, elapsed_minutes, elapsed_seconds
 from farebox.schemas import ENRICHED, position_columns
@@ -16,7 +16,8 @@ ROLES = ("pickup", "dropoff")
 # A zone table is broadcast only up to both of these; beyond them the join shuffles.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 256
+# Trips of one id that one salt holds, about, and ids that can have salts.
+SALT_ROWS = 1_000_000
 HOT_IDS = 1_000
 
 
@@ -79,7 +80,7 @@ def measure_zones(zones: DataFrame) -> ZoneDimension:
     return ZoneDimension(zones, found["rows"], found["size"], found["most"] <= 1)
 
 
-def _name_role(trips: DataFrame, dimension: ZoneDimension, role: str) -> DataFrame:
+def _name_role(trips: DataFrame, dimension: ZoneDimension, role: str, salts: DataFrame | None) -> DataFrame:
     """Left join of the zones on one location column; unmatched trips get NULL names."""
     key = f"{role}_location_id"
     names = dimension.zones.select(
@@ -87,57 +88,59 @@ def _name_role(trips: DataFrame, dimension: ZoneDimension, role: str) -> DataFra
         F.col("borough").alias(f"{role}_borough"),
         F.col("zone").alias(f"{role}_zone"),
     )
-    if dimension.broadcastable:
-        return trips.join(F.broadcast(names), F.col(key) == F.col("_id"), "left").drop("_id")
-    return _salted_left_join(trips, key, names)
+    if salts is None:
+        names = F.broadcast(names) if dimension.broadcastable else names
+        return trips.join(names, F.col(key) == F.col("_id"), "left").drop("_id")
+    return _salted_left_join(trips, key, names, salts.where(F.col("_role") == role).drop("_role"))
 
 
-def _salted_left_join(trips: DataFrame, key: str, names: DataFrame) -> DataFrame:
-    """Shuffled left join that spreads the most frequent ids, and NULL, over salts.
+def measure_salts(trips: DataFrame, roles: Sequence[str], salt_rows: int | None = None) -> DataFrame:
+    """(_role, _hot, _salts): over how many salts the frequent ids of each role, and NULL, are spread.
 
-    Which ids are salted decides only where rows go. They are the ``HOT_IDS``
-    most frequent ones, so the list has a fixed bound, any other id holds less
-    than one part in ``HOT_IDS`` of the trips, and no other zone is copied.
+    One pass over the id columns counts all roles. The ``HOT_IDS`` most frequent ids of
+    each role with more than one salt's rows come to the driver, a list of fixed
+    bound, so the joins need no second look at the trips.
+    """
+    salt_rows = salt_rows or SALT_ROWS
+    ids = F.array(*[F.struct(F.lit(role).alias("_role"), F.col(f"{role}_location_id").alias("_hot")) for role in roles])
+    counts = trips.select(F.inline(ids)).groupBy("_role", "_hot").agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.partitionBy("_role").orderBy(F.desc("_n"), "_hot")
+    hot = counts.where(F.col("_n") > salt_rows).withColumn("_rank", F.row_number().over(order))
+    hot = hot.where(F.col("_rank") <= HOT_IDS + 1).select("_role", "_hot", F.ceil(F.col("_n") / salt_rows).cast("int").alias("_salts"))
+    return trips.sparkSession.createDataFrame(hot.collect(), hot.schema)
+
+
+def _salted_left_join(trips: DataFrame, key: str, names: DataFrame, salts: DataFrame) -> DataFrame:
+    """Shuffled left join that spreads frequent ids, and NULL, over their salts.
+
+    Salts decide only where rows go: no other zone is copied, and an id has as many
+    salts as its trips need.
     """
-    hot = (
-        trips.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_hot"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.desc("_n"), "_hot")
-        .limit(HOT_IDS)
-        .select("_hot")
-    )
     # The salt depends on values only, so a repeated task repeats it. The position
     # in the source file differs even between equal trips.
-    spread = F.pmod(F.xxhash64(*(position_columns(trips) or trips.columns)), F.lit(SALTS)).cast("int")
-    is_spread = F.col("_hot").isNotNull() | F.col(key).isNull()
-    salted = (
-        trips.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
-        .withColumn("_salt", F.when(is_spread, spread).otherwise(0))
-        .drop("_hot")
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    copies = (
-        names.where(F.col("_id").isNotNull())
-        .join(F.broadcast(hot), F.col("_id") == F.col("_hot"), "left")
-        .withColumn("_copy", F.explode(F.when(F.col("_hot").isNotNull(), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
+    spread = F.xxhash64(*(position_columns(trips) or trips.columns))
+    salted = trips.join(F.broadcast(salts), F.col(key).eqNullSafe(F.col("_hot")), "left")
+    salted = salted.withColumn("_salt", F.coalesce(F.pmod(spread, "_salts"), F.lit(0)).cast("int")).drop("_hot", "_salts")
+    copies = names.where(F.col("_id").isNotNull()).join(F.broadcast(salts), F.col("_id") == F.col("_hot"), "left")
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    copies = copies.withColumn("_copy", F.explode(every)).drop("_hot", "_salts")
     matches = (F.col(key) == F.col("_id")) & (F.col("_salt") == F.col("_copy"))
     return salted.join(copies, matches, "left").drop("_id", "_copy", "_salt")
 
 
 def name_zones(
-    trips: DataFrame, dimension: ZoneDimension, roles: Sequence[str] = ROLES
+    trips: DataFrame, dimension: ZoneDimension, roles: Sequence[str] = ROLES, spread: bool = True
 ) -> DataFrame:
     """Attach zone and borough names for the given roles.
 
     A dimension measured as small is broadcast, so trips are not shuffled. A larger
     one is shuffled on id and salt, which splits a location that holds a large
-    part of the trips, and the NULL location.
+    part of the trips, and the NULL location. Rows that were summed per location
+    need no salts: ``spread`` says so.
     """
+    salts = measure_salts(trips, roles) if spread and not dimension.broadcastable else None
     for role in roles:
-        trips = _name_role(trips, dimension, role)
+        trips = _name_role(trips, dimension, role, salts)
     return trips
 
 

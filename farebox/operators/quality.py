@@ -72,38 +72,51 @@ CHECKS = (
 )
 
 
-def _row_failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Failures of all single-row checks of a relation, counted in one pass."""
-    counts = df.agg(*[F.count_if(check.violated()).alias(f"c{i}") for i, check in enumerate(checks)])
-    lines = [
-        F.struct(
-            F.lit(check.relation).alias("relation"),
-            F.lit(check.kind).alias("check"),
-            F.lit(check.column).alias("column"),
-            F.col(f"c{i}").alias("failures"),
-        )
-        for i, check in enumerate(checks)
-    ]
-    return counts.select(F.inline(F.array(*lines)))
-
-
-def _unique_failures(df: DataFrame, check: Check) -> DataFrame:
-    return unique(df, check.column).agg(F.count(F.lit(1)).alias("failures")).select(
+def _failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Failures of all checks of a relation in one pass.
+
+    Rows are grouped by the first column that must be unique, carrying the counts of
+    the checks on single rows, and the groups are added up. Each further unique
+    column takes a pass of its own.
+    """
+    by_row = [check for check in checks if check.kind != "unique"]
+    keys = [check for check in checks if check.kind == "unique"]
+    counts = [F.count_if(check.violated()).alias(f"c{i}") for i, check in enumerate(by_row)]
+    if keys:
+        repeated = F.count(keys[0].column) > 1
+        groups = df.groupBy(F.col(keys[0].column).alias("key")).agg(*counts, repeated.alias("repeated"))
+        counts = [F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(by_row))]
+        counts.append(F.count_if("repeated").alias(f"c{len(by_row)}"))
+        totals = groups.agg(*counts)
+    else:
+        totals = df.agg(*counts)
+    found = totals.select(F.inline(F.array(*[_line(check, F.col(f"c{i}")) for i, check in enumerate([*by_row, *keys[:1]])])))
+    for check in keys[1:]:
+        other = unique(df, check.column).agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(_line(check, F.col("n")))))
+        found = found.unionByName(other)
+    return found
+
+
+def _line(check: Check, failures: Column) -> Column:
+    return F.struct(
         F.lit(check.relation).alias("relation"),
         F.lit(check.kind).alias("check"),
         F.lit(check.column).alias("column"),
-        "failures",
+        failures.alias("failures"),
     )
 
 
 def quality_report(relations: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> DataFrame:
-    """One row per check of the given relations: relation, check, column, failures, passed."""
-    parts = []
-    for name, df in relations.items():
-        mine = [check for check in checks if check.relation == name]
-        by_row = [check for check in mine if check.kind != "unique"]
-        if by_row:
-            parts.append(_row_failures(df, by_row))
-        parts += [_unique_failures(df, check) for check in mine if check.kind == "unique"]
+    """One row per check of the given relations: relation, check, column, failures, passed.
+
+    A check whose relation is not given, and a relation without a check, is an
+    error: either would pass without having been looked at.
+    """
+    named = {check.relation for check in checks}
+    if named - set(relations) or set(relations) - named or not checks:
+        raise ValueError(
+            f"checks without a relation: {sorted(named - set(relations))}; relations without a check: {sorted(set(relations) - named)}"
+        )
+    parts = [_failures(df, [check for check in checks if check.relation == name]) for name, df in relations.items()]
     report = reduce(DataFrame.unionByName, parts)
     return report.withColumn("passed", F.col("failures") == 0)

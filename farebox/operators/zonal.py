@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 
+from farebox.functions.money import checked_sum
 from farebox.operators.enrich import ZoneDimension, name_zones
 
 
@@ -30,5 +31,5 @@ def zone_sums(
     if not dimension.unique:
         return zone_sums(name_zones(trips, dimension), zone_columns, by, sums)
     per_id = trips.groupBy("pickup_location_id", *by).agg(*aggregates)
-    named = name_zones(per_id, dimension, ["pickup"])
-    return named.groupBy(*zone_columns, *by).agg(*[F.sum(name).alias(name) for name in sums])
+    named = name_zones(per_id, dimension, ["pickup"], spread=False)
+    return named.groupBy(*zone_columns, *by).agg(*[checked_sum(name).alias(name) for name in sums])

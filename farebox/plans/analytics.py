@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from farebox.functions.money import average, from_units, to_units, total
+from farebox.functions.money import average, checked_sum, from_units, to_units, total
 from farebox.functions.time import half_open, month_start, on_day
 from farebox.operators.enrich import ZoneDimension, name_zones
 from farebox.operators.gaps import max_gaps, merge_runs, minute_runs
@@ -35,7 +35,7 @@ def top_zones_by_month(
 ) -> DataFrame:
     """Pickup zones of the ``top`` revenue ranks of each month, with ties."""
     selected = _within(trips, start, end).withColumn("month", month_start("pickup_datetime"))
-    revenue = {"revenue": F.sum(to_units("total_amount"))}
+    revenue = {"revenue": checked_sum(to_units("total_amount"))}
     monthly = zone_sums(selected, ["pickup_zone"], ["month"], revenue, dimension)
     rank = F.rank().over(Window.partitionBy("month").orderBy(F.desc("revenue")))
     return (
@@ -89,11 +89,10 @@ def max_gap_by_zone_day(
         runs = minute_runs(name_zones(selected, dimension, ["pickup"]))
     else:
         per_id = minute_runs(selected, "pickup_location_id")
-        runs = merge_runs(name_zones(per_id, dimension, ["pickup"]))
-    # A global sort samples its input by running it. With a shuffle of the result
-    # rows in between, the sample reads those and the window runs once.
-    gaps = max_gaps(runs).repartition("trip_date")
-    return gaps.orderBy("trip_date", F.desc("max_gap_minutes"))
+        runs = merge_runs(name_zones(per_id, dimension, ["pickup"], spread=False))
+    # The sort's sample reads the window's shuffle files again; a shuffle of the
+    # result rows in between would only spare computing the windows twice.
+    return max_gaps(runs).orderBy("trip_date", F.desc("max_gap_minutes"))
 
 
 def day_summary(trips: DataFrame, day: date | str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from farebox.functions.money import average, from_units, to_units, total
+from farebox.functions.money import average, checked_sum, from_units, to_units, total
 from farebox.functions.time import calendar_day, calendar_parts
 from farebox.operators.enrich import ZoneDimension
 from farebox.operators.numbering import number_rows
@@ -39,36 +39,37 @@ def daily_revenue(trips: DataFrame) -> DataFrame:
 
 def zone_performance(
     trips: DataFrame,
-    dimension: ZoneDimension | None = None,
+    zones: ZoneDimension,
     high_volume: int = HIGH_VOLUME_TRIPS,
+    named: bool = False,
 ) -> DataFrame:
     """Monthly KPI per pickup zone, with its revenue rank in the month.
 
-    A month has one row per zone to rank, so a dimension that is too large to
-    broadcast may also make a month too large for one task.
+    ``named`` states that the trips carry the zone columns already. The dimension is
+    needed all the same: a month has one row per zone to rank, so one that is too
+    large to broadcast also makes a month too large for one task.
     """
     if "pickup_year" not in trips.columns:
         trips = trips.select("*", *calendar_parts("pickup_datetime"))
     sums = {
         "total_trips": F.count(F.lit(1)),
-        "distance": F.sum("trip_distance"),
+        "distance": checked_sum(to_units("trip_distance")),
         "distances": F.count("trip_distance"),
-        "fare": F.sum(to_units("fare_amount")),
+        "fare": checked_sum(to_units("fare_amount")),
         "fares": F.count("fare_amount"),
-        "revenue": F.sum(to_units("total_amount")),
+        "revenue": checked_sum(to_units("total_amount")),
     }
     base = zone_sums(
-        trips, ["pickup_zone", "pickup_borough"], ["pickup_year", "pickup_month"], sums, dimension
+        trips, ["pickup_zone", "pickup_borough"], ["pickup_year", "pickup_month"], sums, None if named else zones
     )
-    few_zones = dimension is None or dimension.broadcastable
-    ranked = rank_descending(base, ["pickup_year", "pickup_month"], "revenue", "revenue_rank", few_zones)
+    ranked = rank_descending(base, ["pickup_year", "pickup_month"], "revenue", "revenue_rank", zones.broadcastable)
     return ranked.select(
         "pickup_zone",
         "pickup_borough",
         "pickup_year",
         "pickup_month",
         "total_trips",
-        F.try_divide("distance", "distances").alias("avg_trip_distance"),
+        F.try_divide(from_units(F.col("distance")), "distances").alias("avg_trip_distance"),
         F.try_divide(from_units(F.col("fare")), "fares").alias("avg_fare"),
         from_units(F.col("revenue")).alias("total_revenue"),
         "revenue_rank",

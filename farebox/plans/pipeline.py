@@ -14,19 +14,21 @@ from farebox.operators.quality import quality_report
 from farebox.operators.staging import stage_trips, stage_zones
 from farebox.plans.analytics import day_summary
 from farebox.plans.marts import HIGH_VOLUME_TRIPS, daily_revenue, dim_zones, zone_performance
-from farebox.schemas import ENRICHED, FACT
+from farebox.schemas import ENRICHED, FACT, POSITION
 from farebox.sinks import PICKUP_MONTH, cluster, publish_view, write_parquet
 from farebox.sources.checks import MONTH_FILE, require_month_file
 from farebox.sources.trips import read_trips
 from farebox.sources.zones import read_zones
 
+SORTED = ("pickup_zone", "pickup_datetime")
+
 
 @dataclass(frozen=True)
 class PipelineConfig:
     """Where the run reads and writes.
 
-    ``clustered`` lays the fact out for reads by zone and time at the price of
-    one shuffle; otherwise its files follow the monthly input files.
+    Files are evenly sized and hold one month each. ``clustered`` also sorts them
+    for reads by zone and time.
     """
 
     trips_dir: str
@@ -62,17 +64,17 @@ def build_relations(spark: SparkSession, conf: PipelineConfig) -> dict[str, Data
     and the fact takes its ids from the files' row indexes without a shuffle.
     The table is replaced by the next run.
     """
-    trips = read_trips(spark, f"{conf.trips_dir}/{conf.month_file.format(month='*')}", positions=False)
+    trips = read_trips(spark, f"{conf.trips_dir}/{conf.month_file.format(month='*')}")
     staged = stage_trips(trips)
     zones = stage_zones(read_zones(spark, conf.zones_csv))
-    publish_view(staged, "stg_yellow_trips")
+    publish_view(staged.drop(*POSITION), "stg_yellow_trips")
     publish_view(zones, "stg_taxi_zones")
 
     enriched_path = f"{work_dir(spark, conf.output_dir)}/int_trips_enriched"
-    enriched = enrich(staged, measure_zones(zones))
-    if conf.clustered:
-        enriched = cluster(enriched, PICKUP_MONTH, ["pickup_zone", "pickup_datetime"])
-    write_parquet(enriched, enriched_path, PICKUP_MONTH)
+    dimension = measure_zones(zones)
+    order = SORTED if conf.clustered else ()
+    enriched = cluster(enrich(staged, dimension), PICKUP_MONTH, order)
+    write_parquet(enriched.select(*ENRICHED.names), enriched_path, PICKUP_MONTH)
     written = spark.read.schema(ENRICHED).parquet(enriched_path).select(*ENRICHED.names)
     publish_view(written, "int_trips_enriched")
 
@@ -81,12 +83,12 @@ def build_relations(spark: SparkSession, conf: PipelineConfig) -> dict[str, Data
         "fct_trips": (numbered, PICKUP_MONTH),
         "dim_zones": (dim_zones(zones), ()),
         "agg_daily_revenue": (daily_revenue(written).orderBy("trip_date"), ()),
-        "agg_zone_performance": (zone_performance(written, high_volume=conf.high_volume), ()),
+        "agg_zone_performance": (zone_performance(written, dimension, conf.high_volume, named=True), ()),
     }
     relations = {}
     for name, (mart, partition_by) in marts.items():
         path = f"{conf.output_dir}/{name}"
-        write_parquet(mart, path, partition_by)
+        write_parquet(cluster(mart, partition_by, order) if partition_by else mart, path, partition_by)
         schema = FACT if name == "fct_trips" else mart.schema
         relations[name] = spark.read.schema(schema).parquet(path).select(*schema.names)
         publish_view(relations[name], name)

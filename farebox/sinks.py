@@ -24,14 +24,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def cluster(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
-    """Lay rows out for a partitioned write that is read by ranges of ``sort_by``.
+def cluster(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
+    """Lay rows out for a partitioned write: files per partition value follow its size, not the tasks.
 
-    Rebalancing makes files of even size: it splits a partition value that holds
-    much of the data and merges small ones. Sorting gives row groups narrow
-    minima and maxima to skip by. This shuffles the rows once.
+    Rebalancing splits a partition value that holds much of the data and merges
+    small ones. With ``sort_by``, row groups have narrow minima and maxima to
+    skip by. This shuffles the rows once.
     """
-    return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by)
+    even = df.hint("rebalance", *partition_by)
+    return even.sortWithinPartitions(*partition_by, *sort_by) if sort_by else even
 
 
 def write_monthly(daily: DataFrame, path: str) -> None:

@@ -3,22 +3,30 @@
 Files of different months may store a column with different physical types
 (``passenger_count`` as a long in one and a double in the next). One
 ``read.parquet`` over all of them cannot bridge that, so files are grouped by
-physical schema, each group is one scan that is cast to the declared types, and
-the few groups are united. Every scan still prunes columns and pushes filters.
+the types of the declared columns, each group is one scan that is cast to the
+declared types, and the few groups are united. Every scan still prunes columns
+and pushes filters.
+
+Every file must have every declared column: a column that one file lacks would
+be read as NULL there, and its trips would silently fail the validity rule.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
+import pandas as pd
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from farebox.schemas import POSITION, RAW_TRIPS, conform
 
+#: Files named in an error message.
+NAMED_FILES = 5
+
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     """Paths of the files behind a path or glob, as a ``path`` column.
@@ -33,33 +41,68 @@ def list_files(spark: SparkSession, pattern: str) -> DataFrame:
         return spark.createDataFrame([], "path string")
 
 
-def _merged_schema(spark: SparkSession, paths: Sequence[str]) -> StructType:
-    """One schema for all files, from their footers, read by a Spark job."""
-    return spark.read.option("mergeSchema", "true").parquet(*paths).schema
+def _footers(names: Sequence[str]):
+    """Reads the footer of each file and returns how it stores the columns in ``names``."""
+    wanted = {name.lower() for name in names}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import ArrowException, fs, parquet
+
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                try:
+                    local = re.sub("^file:/+", "/", path)
+                    store, inner = (fs.LocalFileSystem(), local) if local.startswith("/") else fs.FileSystem.from_uri(path)
+                    with store.open_input_file(inner) as file:
+                        schema = parquet.ParquetFile(file).schema
+                    columns = [schema.column(i) for i in range(len(schema))]
+                    stored = sorted(f"{c.path.lower()} {c.physical_type} {c.logical_type}" for c in columns if c.path.lower() in wanted)
+                    rows.append((path, "\n".join(stored)))
+                except (ArrowException, OSError):
+                    rows.append((path, None))
+            yield pd.DataFrame(rows, columns=["path", "stored"])
 
+    return run
 
-def _uniform_runs(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], StructType]]:
-    """Split a sorted path list into runs whose footers merge into one schema.
 
-    Types change between months, so the runs are few. Halving finds them with a
-    number of footer jobs that grows with the changes, not with the files.
+def stored_columns(spark: SparkSession, listed: DataFrame, names: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted files by how they store the columns ``names``: a line for each column there is.
+
+    One distributed pass reads all footers, whatever the order of the files. Where
+    a store is out of reach for the tasks' Python, Spark infers those files' schemas
+    one by one.
     """
-    try:
-        return [(list(paths), _merged_schema(spark, paths))]
-    except (PySparkException, Py4JJavaError) as error:
-        if len(paths) == 1 or "CANNOT_MERGE" not in str(error):
-            raise
-    middle = len(paths) // 2
-    return _uniform_runs(spark, paths[:middle]) + _uniform_runs(spark, paths[middle:])
+    tasks = spark.sparkContext.defaultParallelism
+    found = listed.distinct().repartition(tasks, "path").mapInPandas(_footers(names), "path string, stored string")
+    groups: dict[str, list[str]] = {}
+    wanted = {name.lower() for name in names}
+    for row in sorted(found.collect()):
+        stored = row.stored
+        if stored is None:
+            fields = [f for f in spark.read.parquet(row.path).schema if f.name.lower() in wanted]
+            stored = "\n".join(sorted(f"{f.name.lower()} {f.dataType.simpleString()}" for f in fields))
+        groups.setdefault(stored, []).append(row.path)
+    return groups
+
+
+def _require_columns(groups: dict[str, list[str]], declared: StructType, optional: Sequence[str]) -> None:
+    """Raise if any file lacks a declared column that isn't optional, and name both."""
+    faults = []
+    for stored, files in groups.items():
+        there = {line.split(" ")[0] for line in stored.split("\n")}
+        missing = [f.name for f in declared if f.name.lower() not in there and f.name not in optional]
+        if missing:
+            more = f" and {len(files) - NAMED_FILES} more" if len(files) > NAMED_FILES else ""
+            faults.append(f"missing columns {missing} in {files[:NAMED_FILES]}{more}")
+    if faults:
+        raise ValueError("; ".join(faults))
 
 
 def _physical(schema: StructType, declared: StructType) -> StructType:
-    """The fields of ``declared`` with the types ``schema`` stores them in."""
+    """The fields of ``declared`` with the types ``schema`` stores them in (optional ones may be absent)."""
     stored = {field.name.lower(): field.dataType for field in schema}
-    missing = [field.name for field in declared if field.name.lower() not in stored]
-    if missing:
-        raise ValueError(f"missing columns {missing}; found {schema.names}")
-    return StructType([StructField(field.name, stored[field.name.lower()]) for field in declared])
+    return StructType([StructField(f.name, stored.get(f.name.lower(), f.dataType)) for f in declared])
 
 
 def read_trips(
@@ -67,20 +110,23 @@ def read_trips(
     *patterns: str,
     schema: StructType = RAW_TRIPS,
     positions: bool = True,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """All trip files behind the paths or globs, cast to ``schema``.
 
-    With ``positions`` each row carries where it lies in its source file, which
-    costs nothing unless a later step reads it.
+    A file without one of the columns is an error, unless the column is named in
+    ``optional``: then it is NULL there. With ``positions`` each row carries where it lies
+    in its source file, which costs nothing unless a later step reads it.
     """
     listed = reduce(DataFrame.union, (list_files(spark, pattern) for pattern in patterns))
-    paths = sorted({row.path for row in listed.collect()})
-    if not paths:
+    stored = stored_columns(spark, listed, schema.names)
+    if not stored:
         raise FileNotFoundError(f"no trip files behind {list(patterns)}")
+    _require_columns(stored, schema, optional)
     groups: dict[str, tuple[StructType, list[str]]] = {}
-    for run, stored in _uniform_runs(spark, paths):
-        physical = _physical(stored, schema)
-        groups.setdefault(physical.json(), (physical, []))[1].extend(run)
+    for files in stored.values():
+        physical = _physical(spark.read.parquet(files[0]).schema, schema)
+        groups.setdefault(physical.json(), (physical, []))[1].extend(files)
     return reduce(
         DataFrame.unionByName,
         (_scan(spark, files, physical, schema, positions) for physical, files in groups.values()),

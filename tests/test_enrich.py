@@ -3,11 +3,12 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from farebox.operators import enrich as enrichment
 from farebox.operators.enrich import enrich, measure_zones, name_zones, valid_trips
 from farebox.operators.staging import stage_trips, stage_zones
 from farebox.plans.marts import dim_zones
 from farebox.schemas import ENRICHED, POSITION
-from tests.conftest import rows, trip
+from tests.conftest import plan_of, rows, trip
 
 
 def test_staging_renames_and_drops_missing_pickups(make_trips):
@@ -75,8 +76,9 @@ def test_measure(make_zones, zone_rows):
 
 
 @pytest.mark.parametrize("positions", [True, False])
-def test_a_large_dimension_gives_the_same_rows(spark, make_trips, make_zones, zone_rows, conf, positions):
+def test_a_large_dimension_gives_the_same_rows(spark, make_trips, make_zones, zone_rows, conf, positions, monkeypatch):
     """Beyond the bound the join shuffles; a third of the trips are copies at one location."""
+    monkeypatch.setattr(enrichment, "SALT_ROWS", 10)
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     base = make_trips(
         *[{"PULocationID": 1, "DOLocationID": 4}] * 40,
@@ -95,7 +97,9 @@ def test_a_large_dimension_gives_the_same_rows(spark, make_trips, make_zones, zo
     assert len(named[0]) == 110
 
 
-def test_a_large_dimension_spreads_the_hot_location(spark, make_trips, make_zones, zone_rows, conf):
+@pytest.mark.parametrize("role", ["pickup", "dropoff"])
+def test_a_large_dimension_spreads_the_hot_location(spark, make_trips, make_zones, zone_rows, conf, monkeypatch, role):
+    monkeypatch.setattr(enrichment, "SALT_ROWS", 20)
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.enabled", "false")
     conf("spark.sql.shuffle.partitions", "16")
@@ -103,10 +107,17 @@ def test_a_large_dimension_spreads_the_hot_location(spark, make_trips, make_zone
         stage_trips(make_trips({"PULocationID": 1}))
         .crossJoin(spark.range(3000).withColumnRenamed("id", POSITION[1]))
         .withColumn(POSITION[0], F.lit(7).cast("bigint"))
-        .withColumn("pickup_location_id", F.expr("if(source_row % 3 = 0, NULL, 1L)"))
+        .withColumn(f"{role}_location_id", F.expr("if(source_row % 3 = 0, NULL, 1L)"))
     )
     large = replace(measure_zones(stage_zones(make_zones(*zone_rows))), rows=1 << 40)
-    parts = name_zones(staged, large, ["pickup"]).groupBy(F.spark_partition_id()).count()
+    parts = name_zones(staged, large, [role]).groupBy(F.spark_partition_id()).count()
     sizes = [r[1] for r in rows(parts)]
     assert sum(sizes) == 3000
     assert len(sizes) == 16 and max(sizes) < 600
+
+
+def test_both_roles_of_a_large_dimension_scan_the_trips_once(spark, make_trips, make_zones, zone_rows, tmp_path):
+    make_trips({"PULocationID": 1, "DOLocationID": 2}).write.parquet(str(tmp_path / "trips"))
+    staged = stage_trips(spark.read.parquet(str(tmp_path / "trips")))
+    large = replace(measure_zones(stage_zones(make_zones(*zone_rows))), rows=1 << 40)
+    assert plan_of(enrich(staged, large)).split("\n(1) ")[0].count("Scan parquet") == 1

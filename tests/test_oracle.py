@@ -35,14 +35,14 @@ def normalized(names, found):
 
 
 def test_every_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.trip_queries()) == set(driver.trip_sql())
 
 
-@pytest.mark.parametrize("key", sorted(driver.queries()))
+@pytest.mark.parametrize("key", sorted(driver.trip_queries()))
 def test_query_equals_oracle(spark, oracle, key):
-    df = driver.queries()[key](spark, SF)
+    df = driver.trip_queries()[key](spark, SF)
     ours = normalized(df.columns, df.collect())
-    cursor = oracle.execute(driver.oracle_sql()[key])
+    cursor = oracle.execute(driver.trip_sql()[key])
     theirs = normalized([column[0] for column in cursor.description], cursor.fetchall())
     assert ours[0] == theirs[0]
     assert len(ours[1]) == len(theirs[1])
@@ -54,7 +54,7 @@ def test_entry(spark):
 
 
 def test_counts_agree_between_relations(spark):
-    queries = driver.queries()
+    queries = driver.trip_queries()
     facts = queries["trip_facts"](spark, SF).count()
     assert queries["staged_trips"](spark, SF).count() > facts
     for key in ("daily_revenue", "zone_performance", "hour_pattern"):

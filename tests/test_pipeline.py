@@ -1,6 +1,8 @@
 import pytest
 
 from farebox.jobs import daily
+from farebox.operators import enrich
+from farebox.plans import marts
 from farebox.plans.pipeline import PipelineConfig, QualityError, run_for_date, work_dir
 from farebox.schemas import FACT
 from farebox.sources import MissingSource
@@ -68,6 +70,26 @@ def test_a_clustered_run_from_the_command_line_gives_the_same_relations(spark, s
     assert f"trips {summary.total_trips}  revenue {summary.total_revenue}" in capsys.readouterr().out
 
 
+def test_a_large_dimension_reaches_the_ranks_in_buckets(spark, sources, monkeypatch):
+    run_for_date(spark, sources, "2023-01-02")
+    before = contents(spark)
+    seen = []
+    monkeypatch.setattr(enrich, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(enrich, "SALT_ROWS", 5)
+    real = marts.rank_descending
+    monkeypatch.setattr(marts, "rank_descending", lambda *a: seen.append(a[4]) or real(*a))
+    run_for_date(spark, sources, "2023-01-02")
+    assert seen == [False] and contents(spark) == before
+
+
+def test_files_follow_months_and_not_tasks(spark, sources, make_trips):
+    mixed = [trip(f"2023-{1 + i % 2:02d}-{1 + i % 20:02d} 10:00:00", f"2023-{1 + i % 2:02d}-{1 + i % 20:02d} 10:30:00") for i in range(400)]
+    make_trips(*mixed).repartition(16).write.mode("overwrite").parquet(f"{sources.trips_dir}/yellow_tripdata_2023-01.parquet")
+    run_for_date(spark, sources, "2023-01-02")
+    assert len(spark.table("fct_trips").inputFiles()) == 2
+    assert len(spark.table("int_trips_enriched").inputFiles()) == 2
+
+
 def test_a_month_without_a_file_stops_the_run(spark, sources):
     with pytest.raises(MissingSource, match="2023-03"):
         run_for_date(spark, sources, "2023-03-01")

@@ -14,7 +14,7 @@ JIT_LIMIT = 8000  # the JVM does not compile larger methods
 @pytest.fixture
 def plan(spark):
     def build(key, mode="formatted"):
-        return plan_of(driver.queries()[key](spark, SF), mode)
+        return plan_of(driver.trip_queries()[key](spark, SF), mode)
 
     return build
 
@@ -49,7 +49,7 @@ def test_scans_read_only_their_columns(plan):
     assert read == {"l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "o_orderkey", "o_orderdate"}
 
 
-@pytest.mark.parametrize("key", sorted(driver.queries()))
+@pytest.mark.parametrize("key", sorted(driver.trip_queries()))
 def test_generated_code_is_small_enough_to_be_compiled(plan, conf, key):
     conf("spark.sql.adaptive.enabled", "false")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", plan(key, "codegen"))]

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from farebox.operators.enrich import enrich, measure_zones
@@ -71,3 +72,23 @@ def test_own_checks(make_trips, make_zones, zone_rows):
     checks = [Check("trips", "not_null", "pickup_zone"), Check("trips", "in_range", "trip_distance", 0.5, 1.5)]
     report = rows(quality_report({"trips": trips.withColumn("x", F.lit(1))}, checks))
     assert [(kind, n) for _, kind, _, n, _ in report] == [("not_null", 1), ("in_range", 2)]
+
+
+def test_nothing_is_left_out_silently(spark, make_zones, zone_rows):
+    facts, zones = fact_rows(spark, {}), stage_zones(make_zones(*zone_rows))
+    with pytest.raises(ValueError, match="checks without a relation: \\['fct_trips'\\]"):
+        quality_report({"dim_zones": zones})
+    with pytest.raises(ValueError, match="relations without a check: \\['fct_trip'\\]"):
+        quality_report({"fct_trips": facts, "dim_zones": zones, "fct_trip": facts})
+    with pytest.raises(ValueError):
+        quality_report({})
+    with pytest.raises(ValueError):
+        quality_report({"trips": facts}, [])
+
+
+def test_no_rows_and_two_unique_columns(spark):
+    df = spark.createDataFrame([(1, 1, 2.0), (2, 1, None), (None, None, 1.0), (None, 3, 1.0)], "a int, b int, c double")
+    checks = [Check("t", "unique", "a"), Check("t", "unique", "b"), Check("t", "not_null", "c")]
+    report = {(k, c): n for _, k, c, n, _ in rows(quality_report({"t": df}, checks))}
+    assert report == {("unique", "a"): 0, ("unique", "b"): 1, ("not_null", "c"): 1}
+    assert [r[3:] for r in rows(quality_report({"t": df.limit(0)}, checks))] == [(0, True)] * 3

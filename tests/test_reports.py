@@ -57,12 +57,22 @@ def test_zone_performance(make_trips, dimension):
         ("Market", "South", 2023, 1, 1, 2.0, 10.0, 1.0, 4, False),
         ("Market", "South", 2022, 1, 1, 2.0, 10.0, 1.0, 1, False),
     }
-    assert set(rows(zone_performance(enrich(staged, dimension), high_volume=1))) == expected
+    assert set(rows(zone_performance(enrich(staged, dimension), dimension, high_volume=1, named=True))) == expected
     assert set(rows(zone_performance(valid_trips(staged), dimension, high_volume=1))) == expected
     large = replace(dimension, rows=1 << 40)
     assert set(rows(zone_performance(valid_trips(staged), large, high_volume=1))) == expected
 
 
+def test_mean_distance_does_not_depend_on_order(make_trips, dimension):
+    distances = [0.1 * (i % 7 + 1) for i in range(50)] + [1e6, 0.3]
+    trips = [at_hour(1, PULocationID=1, trip_distance=d) for d in distances]
+    out = [
+        rows(zone_performance(valid_trips(stage_trips(make_trips(*t))), dimension).select("avg_trip_distance"))
+        for t in (trips, trips[::-1])
+    ]
+    assert out[0] == out[1] == [(sum(round(d * 10_000) for d in distances) / 10_000 / 52,)]
+
+
 def test_high_volume_is_above_the_threshold(make_trips, spark, dimension):
     staged = stage_trips(make_trips(at_hour(1)))
     for trips, flag in ((10_000, False), (10_001, True)):
@@ -75,8 +85,13 @@ def test_zone_reports_with_repeated_ids_count_like_the_joined_relation(make_trip
     zones = measure_zones(stage_zones(make_zones(*zone_rows, (1, "North", "Harbor", "x"), (4, "N/A", "Far", "x"))))
     staged = stage_trips(make_trips(at_hour(1, DOLocationID=4), at_hour(4), at_hour(5, PULocationID=4, DOLocationID=1)))
     valid, enriched = valid_trips(staged), enrich(staged, zones)
-    for report in (zone_performance, top_zones_by_month, max_gap_by_zone_day):
-        assert sorted(rows(report(valid, zones)), key=str) == sorted(rows(report(enriched)), key=str)
+    over_named = {
+        zone_performance: lambda trips: zone_performance(trips, zones, named=True),
+        top_zones_by_month: top_zones_by_month,
+        max_gap_by_zone_day: max_gap_by_zone_day,
+    }
+    for report in over_named:
+        assert sorted(rows(report(valid, zones)), key=str) == sorted(rows(over_named[report](enriched)), key=str)
 
 
 def test_top_zones_keep_ties_at_the_last_rank(make_trips, make_zones):

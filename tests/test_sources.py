@@ -68,6 +68,36 @@ def test_missing_column_is_an_error(spark, make_trips, tmp_path):
         read_trips(spark, f"{tmp_path}/*.parquet")
 
 
+def test_one_bad_file_among_good_ones_is_an_error(spark, make_trips, tmp_path):
+    good = make_trips({}, {})
+    for month in ("2023-01", "2023-02", "2023-04"):
+        write_month(good, tmp_path, month)
+    write_month(good.drop("passenger_count", "extra"), tmp_path, "2023-03")
+    pattern = f"{tmp_path}/*.parquet"
+    with pytest.raises(ValueError, match="missing columns \\['passenger_count', 'extra'\\].*2023-03") as error:
+        read_trips(spark, pattern)
+    assert "2023-02" not in str(error.value)
+    with pytest.raises(ValueError, match="passenger_count"):
+        read_trips(spark, pattern, optional=["extra"])
+    trips = read_trips(spark, pattern, optional=["extra", "passenger_count"], positions=False)
+    assert trips.where("extra is null and passenger_count is null").count() == 2 and trips.count() == 8
+
+
+def test_footers_are_read_in_one_pass_however_types_alternate(spark, make_trips, tmp_path):
+    one = make_trips({})
+    other = one.withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+    jobs = []
+    for files in (2, 8):
+        for i in range(files):
+            (one if i % 2 else other).coalesce(1).write.parquet(str(tmp_path / f"{files}" / f"{i}.parquet"))
+        group = f"footers-{files}"
+        spark.sparkContext.setJobGroup(group, group)
+        assert read_trips(spark, f"{tmp_path}/{files}/*.parquet").count() == files
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+
+
 def test_no_files_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_trips(spark, f"{tmp_path}/*.parquet")
