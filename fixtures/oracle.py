@@ -197,4 +197,16 @@ def oracle_sql(year: int, day: str, high_volume: int, now: str, months: tuple[st
             WHERE strftime(m, '%Y-%m') NOT IN
                   (SELECT strftime(tpep_pickup_datetime, '%Y-%m') FROM raw_trips WHERE tpep_pickup_datetime IS NOT NULL)""",
     }
+    # The same relations from files: ids depend on the files, but are dense.
+    bodies |= {
+        "run_fct_trips": "SELECT * EXCLUDE (trip_id) FROM facts",
+        "run_fct_trips_ids": """
+            SELECT count(*) AS trips, min(trip_id) AS first_id, max(trip_id) AS last_id, count(DISTINCT trip_id) AS ids
+            FROM facts""",
+        "run_dim_zones": bodies["dim_zones"],
+        "run_daily_revenue": bodies["daily_revenue"],
+        "run_zone_performance": bodies["zone_performance"],
+        "run_quality_report": bodies["quality_report"],
+        "run_historical": bodies["historical_daily"],
+    }
     return {key: _statement(" ".join(body.split())) for key, body in bodies.items()}
