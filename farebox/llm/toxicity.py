@@ -28,6 +28,8 @@ EVIDENCE = 25.0
 #: A phrase with an entry is an exception if at least so many texts hold it and none toxic among so many.
 EXCEPTION_TEXTS = 5
 THRESHOLD = 0.3
+#: Labelled rows, by hash of their id, that the lexicon is learned from.
+LABELLED = 100_000
 #: Labelled texts, by hash, whose sums of weights and lengths fit the score.
 FITTED = 20_000
 #: Counted words that a task holds before it passes them on.
@@ -255,11 +257,15 @@ def score_texts(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``score_texts`` with the lexicon of the labelled rows that are not held out."""
-    known = labels.where(fold_of("doc_id", FOLDS) != HELD_OUT).select("doc_id", "toxic")
-    labelled = docs.select("doc_id", "text").join(known, "doc_id")
-    return score_texts(docs, learn_lexicon(labelled, Scratch(docs.sparkSession, "toxicity")))
+def toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
+    """``score_texts`` with the lexicon of at most ``labelled`` labelled rows that are not held out.
+
+    Their ids are chosen by hash and sent to the texts, which so stay where they are.
+    """
+    known = labels.where((fold_of("doc_id", FOLDS) != HELD_OUT) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+    known = known.select("doc_id", "toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(labelled)
+    found = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    return score_texts(docs, learn_lexicon(found, Scratch(docs.sparkSession, "toxicity")))
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:
