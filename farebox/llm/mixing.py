@@ -174,5 +174,43 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     return out.select(*columns)
 
 
+ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         0.5::DOUBLE + 0.5::DOUBLE * (length(regexp_replace(coalesce(text, ''), '[^\p{L}\x20\x09-\x0D]+', '', 'g')) + 1.0::DOUBLE)
+           / (length(coalesce(text, '')) + 1.0::DOUBLE) AS quality,
+         (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656.0::DOUBLE AS u
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
+), w AS (
+  SELECT *, CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s
+), o AS (
+  SELECT *, (CAST(sum(source_size) OVER () * 150 AS DOUBLE) / 100 - CAST(2 * coalesce(sum(source_size) OVER earlier, 0) AS DOUBLE))
+              / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0) AS DOUBLE) AS rate
+  FROM w
+  WINDOW earlier AS (ORDER BY source_size / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), c AS (
+  SELECT *, rate * weight >= 2 * source_size AS capped FROM o
+), f AS (
+  SELECT rate AS free FROM c WHERE NOT capped ORDER BY source_size / weight, source IS NULL, source LIMIT 1
+), t AS (
+  SELECT source, source_size,
+         CASE WHEN capped THEN CAST(2 * source_size AS DOUBLE) ELSE (SELECT free FROM f) * weight END AS target
+  FROM c
+), b AS (
+  SELECT *, coalesce(CAST(floor(round(target) / nullif(source_size, 0)) AS BIGINT), 0) AS epochs FROM t
+), k AS (
+  SELECT d.*, source_size, target, epochs, CAST(round(target) AS BIGINT) - epochs * source_size AS budget,
+         sum(size) OVER (PARTITION BY d.source ORDER BY -ln(u) / quality, doc_id NULLS FIRST, size, r) AS upto
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(epochs * size + greatest(0, least(size, budget - (upto - size))) AS BIGINT) AS taken
+FROM k
+"""
+
+
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))

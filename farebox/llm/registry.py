@@ -5,10 +5,12 @@ from __future__ import annotations
 import corpus_pipeline
 from farebox.llm.language_id import op5_language_id
 from farebox.llm.line_quality import op4_line_quality
+from farebox.llm.mixing import ORACLE as MIXING_SQL
 from farebox.llm.mixing import op9_mixing
 from farebox.llm.packing import op10_packing
 from farebox.llm.quality_rules import op2_quality_rules
 from farebox.llm.simhash import op7_simhash_near_dedup
+from farebox.llm.suffix_dedup import ORACLE as SUFFIX_SQL
 from farebox.llm.suffix_dedup import op1_suffix_dedup
 from farebox.llm.token_counts import op3_token_counts
 from farebox.llm.topk import ORACLE as TOPK_SQL
@@ -34,4 +36,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_topk": TOPK_SQL}
+    return {"op1_suffix_dedup": SUFFIX_SQL, "op6_exact_topk": TOPK_SQL, "op9_mixing": MIXING_SQL}

@@ -326,5 +326,34 @@ def dedup_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return out.select(*[f"`{c}`" for c in docs.columns])
 
 
+ORACLE = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT r, i, md5_number(substr(h, 2 * i + 1, 400)) AS s
+  FROM (SELECT r, h, unnest(generate_series(0, length(h) // 2 - 200)) AS i FROM d)
+), starts AS (
+  SELECT r, i FROM w WHERE s IN (SELECT s FROM w GROUP BY s HAVING count(*) > 1)
+), islands AS (
+  SELECT r, i, sum(CASE WHEN i - before <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS island
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM starts)
+), runs AS (
+  SELECT r, min(i) AS a, max(i) + 200 AS b FROM islands GROUP BY r, island
+), gone AS (
+  SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r
+), bounds AS (
+  SELECT r, a AS stop, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS start FROM runs
+  UNION ALL
+  SELECT r, CAST(NULL AS BIGINT), max(b) FROM runs GROUP BY r
+), kept AS (
+  SELECT r, string_agg(substr(h, 2 * start + 1, 2 * (coalesce(stop, length(h) // 2) - start)), '' ORDER BY start) AS h
+  FROM bounds JOIN d USING (r) GROUP BY r
+)
+SELECT doc_id, length(d.h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+"""
+
+
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
