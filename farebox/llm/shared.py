@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,18 +13,20 @@ CLEANUP = "spark.sql.shuffleDependency.fileCleanup.enabled"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="farebox-")
+
+
 class Scratch:
     """Tables of one run, in a new folder below ``spark.checkpoint.dir``.
 
     A written table cuts the lineage and survives lost executors. Only where the
-    session names no shared folder (tests) a temporary one is made and set.
+    session names no shared folder (tests on one machine) a temporary one is made.
     """
 
     def __init__(self, spark: SparkSession, label: str):
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            root = tempfile.mkdtemp(prefix="farebox-")
-            spark.conf.set("spark.checkpoint.dir", root)
+        root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
         self.spark = spark
         self.folder = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

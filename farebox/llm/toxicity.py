@@ -25,7 +25,7 @@ STEMS = (4, 5, 6, 7, 8)
 SUPPORT, PRECISION = 0.001, 0.6
 #: Least log likelihood ratio against chance: very many strings are tried.
 EVIDENCE = 25.0
-#: A phrase with an entry is an exception if at least so many texts hold it and none toxic among so many.
+#: A phrase with an entry is an exception if at least so many clean texts hold it, and so many times the toxic ones.
 EXCEPTION_TEXTS = 5
 THRESHOLD = 0.3
 #: Labelled rows, by hash of their id, that the lexicon is learned from.
@@ -180,7 +180,7 @@ def learn_lexicon(labelled: DataFrame, scratch: Scratch) -> Lexicon:
 
     Each text counts once for every word and word beginning in it. Entries are
     those that prevail in toxic texts; they are in a thousandth of the toxic texts
-    at least, so a text of n words bounds them by 1000 * 4 n. In a second pass, the
+    at least, so a text of n words bounds them by 1000 * 6 n. In a second pass, the
     neighbours of matched words in other texts give the exceptions. At most
     ``FITTED`` texts, chosen by hash, give their weight and length to the driver to
     fit the score.
