@@ -193,6 +193,7 @@ def minimum_determinant(rows: DataFrame, scratch: Scratch) -> DataFrame:
     names = list(NOISE)
     p = len(names)
     medians = rows.groupBy("group").agg(*[F.percentile_approx(x, 0.5, 1000).alias(f"{x}_m") for x in names])
+    medians = scratch.write(medians, "medians")
     apart = rows.join(medians, "group").groupBy("group").agg(
         *[F.percentile_approx(F.abs(F.col(x) - F.col(f"{x}_m")), 0.5, 1000).alias(f"{x}_d") for x in names],
         *[F.first(f"{x}_m").alias(f"{x}_m") for x in names],
