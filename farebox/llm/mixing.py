@@ -15,7 +15,7 @@ WEIGHTS = (5, 2, 1)
 #: The mix holds so many percent of all words, and at most so many times a source's own.
 PERCENT, MOST = 150, 2
 #: Documents that share a cell of the key grid, about: those of one cell per source are sorted.
-CELL_ROWS = 10_000
+CELL_ROWS = 2_000
 
 
 def _size() -> Column:
