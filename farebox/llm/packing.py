@@ -192,8 +192,9 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, sla
     fields = ("low", "high", "from", "part", "number", "each", "sequence", "at")
     places = spark.createDataFrame(plan(counts, capacity, slack), "whole long, " + ", ".join(f"`{f}` long" for f in fields))
     places = places.groupBy("whole").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("places"))
+    # a row for each length and a few places in each, whatever the number of pieces: small enough to send
     own = F.filter("places", lambda p: (p["low"] <= F.col("rank")) & (F.col("rank") < p["high"]))
-    placed = ranked.drop("part").join(places, F.col("length") == F.col("whole")).withColumn("place", F.explode(own))
+    placed = ranked.drop("part").join(F.broadcast(places), F.col("length") == F.col("whole")).withColumn("place", F.explode(own))
     n = F.col("place.number") + F.col("rank") - F.col("place.low")
     placed = placed.select(
         "row_key",
