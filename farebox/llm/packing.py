@@ -20,7 +20,7 @@ CAPACITY, END = 2048, 1
 #: A window with more slack than this takes a part of a longer piece.
 SLACK = 16
 #: Pieces of one length that are numbered in one window, about.
-GROUP_ROWS = 20_000
+GROUP_ROWS = 1_000
 RANKS = "byte_bpe_50k.tiktoken"
 
 
@@ -179,8 +179,9 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, sla
     pieces = scratch.write(keyed.mapInPandas(_tokenized(path, capacity), schema).withColumn("part", F.rand(0)), "pieces")
 
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    groups = max(1, sum(counts.values()) // GROUP_ROWS)
-    pieces = pieces.withColumn("group", F.floor(F.col("part") * groups))
+    # groups by length, so their number follows that of the pieces; a row for each length
+    groups = spark.createDataFrame([(n, -(-c // GROUP_ROWS)) for n, c in counts.items()], "length long, groups long")
+    pieces = pieces.join(F.broadcast(groups), "length").withColumn("group", F.floor(F.col("part") * F.col("groups"))).drop("groups")
     sizes = pieces.groupBy("length", "group").agg(F.count("*").alias("n"))
     upto = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select("length", "group", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("first"))
