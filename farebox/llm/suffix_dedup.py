@@ -249,7 +249,9 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, key_segments: int = K
     several = scratch.write(classes.where("copies > 1").select("key", "seg"), "several")
     by_copy = mixed.join(several, ["key", "seg"]).select("row_key", "p", "n")
     found = live.where("pure").select("row_key", "p", "n").union(by_copy).union(by_sort).union(by_count)
-    return scratch.write(found, "found")
+    found = scratch.write(found, "found")
+    scratch.drop("live", "classes", "hot", "bodies", "counted", "several")
+    return found
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
