@@ -33,7 +33,7 @@ LABELLED = 100_000
 #: Labelled texts, by hash, whose sums of weights and lengths fit the score.
 FITTED = 20_000
 #: Counted words that a task holds before it passes them on.
-HELD = 500_000
+HELD = 100_000
 
 #: Code points that look like these letters.
 LOOKALIKES = {
@@ -223,8 +223,10 @@ def learn_lexicon(labelled: DataFrame, scratch: Scratch) -> Lexicon:
             found = _automaton(final)
             yield pd.DataFrame([weight_of(t, final.value, found) for t in batch], columns=["total", "words"])
 
-    some = rows.orderBy(F.xxhash64("text")).limit(FITTED).select("toxic", weighed("text").alias("of")).collect()
-    x = np.array([features(r.of.total, r.of.words) for r in some])
+    # weighed before they are sorted, so that texts don't move
+    narrow = rows.select("toxic", F.xxhash64("text").alias("place"), weighed("text").alias("of")).select("toxic", "place", "of.*")
+    some = narrow.orderBy("place", "toxic").limit(FITTED).collect()
+    x = np.array([features(r.total, r.words) for r in some])
     return lexicon._replace(fit=fit_scores(x, np.array([r.toxic for r in some])))
 
 
