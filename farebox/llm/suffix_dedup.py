@@ -17,7 +17,7 @@ from farebox.llm.shared import Scratch, fresh, parts_of, row_key, table
 LENGTH = 200
 GRAM = 8
 #: Bytes that one scan step works on.
-STEP = 1 << 20
+STEP = 1 << 18
 #: Odd multipliers of the 64-bit finalizer of MurmurHash3.
 MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
 #: Suffixes that one sorting task takes, about, and segments of one key that meet in it at most.
@@ -45,11 +45,12 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, step: int = STEP):
-    """(anchor, first, last) of runs of string starts with the same anchor.
+    """(anchor, first, last) of runs of string starts with the same anchor, ``step`` bytes at a time.
 
     The anchor of a ``length``-byte string is the place of its smallest hashed
     8-byte gram, the leftmost if several are equal. So equal strings have it at
-    equal places. Strings stay within the texts that ``offsets`` bound.
+    equal places. Strings stay within the texts that ``offsets`` bound. The last
+    run of a step is held back, since the next step may go on with it.
     """
     n, grams = len(data), length - GRAM + 1
     change = np.zeros(n + 1, dtype=np.int8)
@@ -57,7 +58,7 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, ste
     change[offsets[long]] += 1
     change[offsets[long + 1] - length + 1] -= 1
     low = np.uint64((1 << 24) - 1)
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held = (np.empty(0, np.int64),) * 3
     inside = 0
     for s in range(0, n - length + 1, step):
         e = min(s + step, n - length + 1)
@@ -76,14 +77,16 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, ste
         start = np.flatnonzero(ok > 0)
         place, start = place[start], start + s
         new = np.flatnonzero(np.append(True, (np.diff(place) != 0) | (np.diff(start) != 1)))
-        found.append((place[new], start[new], start[np.append(new[1:], len(start)) - 1]))
-    if not found:
-        return (np.empty(0, np.int64),) * 3
-    place, first, last = (np.concatenate(x) for x in zip(*found, strict=True))
-    # a run that a step has cut in two
-    keep = np.append(True, (np.diff(place) != 0) | (first[1:] != last[:-1] + 1))
-    begin = np.flatnonzero(keep)
-    return place[begin], first[begin], last[np.append(begin[1:], len(place)) - 1]
+        runs = [place[new], start[new], start[np.append(new[1:], len(start)) - 1]]
+        if len(held[0]) and held[0][0] == runs[0][0] and held[2][0] + 1 == runs[1][0]:
+            runs[1][0] = held[1][0]
+        elif len(held[0]):
+            runs = [np.append(h, r) for h, r in zip(held, runs, strict=True)]
+        held = tuple(r[-1:] for r in runs)
+        if len(runs[0]) > 1:
+            yield tuple(r[:-1] for r in runs)
+    if len(held[0]):
+        yield held
 
 
 def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -100,38 +103,29 @@ def _segments(length: int):
 
     A string either holds the half length before its anchor or that from it, and
     hashing this half gives its key: strings with different keys differ. ``seg``
-    hashes all the bytes of the segment.
+    hashes all the bytes of the segment. Rows leave step by step, so a task holds
+    the texts of a batch and the rows of one step, however long a text is.
     """
     half = length // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                data, offsets = _texts(batch.column("text"))
-                if len(data) < length:
-                    continue
-                place, first, last = anchor_runs(data, offsets, length)
-                raw = memoryview(np.ascontiguousarray(data))
+        for batch in batches:
+            data, offsets = _texts(batch.column("text"))
+            raw = memoryview(data)
+            owners = batch.column("row_key").to_numpy(zero_copy_only=False)
+            for place, first, last in anchor_runs(data, offsets, length):
                 text = np.searchsorted(offsets, first, "right") - 1
-                out = []
                 for seed, from_, to, key_at in (
                     (1, np.maximum(first, place - half + 1), last, place),
                     (2, first, np.minimum(last, place - half), place - half),
                 ):
                     some = np.flatnonzero(from_ <= to)
-                    p, stop, k = from_[some], to[some] + length, key_at[some]
-                    keys = [digest(raw[a : a + half], seed) for a in k.tolist()]
-                    segs = [digest(raw[a:b]) for a, b in zip(p.tolist(), stop.tolist(), strict=True)]
-                    out.append((text[some], keys, segs, p - offsets[text[some]], stop - length - p + 1))
-                row, keys, segs, p, n = (np.concatenate([x, y]) for x, y in zip(*out, strict=True))
-                owner = batch.column("row_key").to_numpy(zero_copy_only=False)[row.astype(np.int64)]
-                signed = lambda x: np.asarray(x, dtype=np.uint64).view(np.int64)
-                yield pa.record_batch(
-                    [pa.array(owner), pa.array(signed(keys)), pa.array(signed(segs)), pa.array(p.astype(np.int32)), pa.array(n.astype(np.int32))],
-                    schema=SEGMENT,
-                )
+                    p, stop, k, row = from_[some], to[some] + length, key_at[some], text[some]
+                    keys = np.fromiter((digest(raw[a : a + half], seed) for a in k), np.uint64, len(some))
+                    segs = np.fromiter((digest(raw[a:b]) for a, b in zip(p, stop, strict=True)), np.uint64, len(some))
+                    columns = [owners[row], keys.view(np.int64), segs.view(np.int64), (p - offsets[row]).astype(np.int32), (stop - length - p + 1).astype(np.int32)]
+                    yield pa.record_batch([pa.array(c) for c in columns], schema=SEGMENT)
 
     return run
 

@@ -70,8 +70,9 @@ def test_steps_agree():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 100, 5000, dtype=np.uint8)
     offsets = np.array([0, 0, 150, 2000, 2100, 5000])
-    whole = [x.tolist() for x in suffix_dedup.anchor_runs(data, offsets)]
-    assert whole == [x.tolist() for x in suffix_dedup.anchor_runs(data, offsets, step=97)]
+    runs = lambda step: [np.concatenate(x).tolist() for x in zip(*suffix_dedup.anchor_runs(data, offsets, step=step))]
+    whole = runs(10_000)
+    assert whole == runs(97) == runs(1)
     starts = [p for a, b in zip(whole[1], whole[2]) for p in range(a, b + 1)]
     assert starts == [p for a, b in zip(offsets, offsets[1:]) for p in range(a, b - 199)]
 
