@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from farebox.llm.conversation_trie import ORACLE as TRIE_SQL
+from farebox.llm.conversation_trie import op12_conversation_trie
+from farebox.llm.filter_audit import ORACLE as AUDIT_SQL
+from farebox.llm.filter_audit import op13_filter_audit
+from farebox.llm.fingerprints import op11_fingerprints
 from farebox.llm.language_id import op5_language_id
 from farebox.llm.line_quality import op4_line_quality
 from farebox.llm.mixing import ORACLE as MIXING_SQL
@@ -28,6 +33,9 @@ _QUERIES = (
     op8_toxicity,
     op9_mixing,
     op10_packing,
+    op11_fingerprints,
+    op12_conversation_trie,
+    op13_filter_audit,
 )
 
 
@@ -36,4 +44,10 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_suffix_dedup": SUFFIX_SQL, "op6_exact_topk": TOPK_SQL, "op9_mixing": MIXING_SQL}
+    return {
+        "op1_suffix_dedup": SUFFIX_SQL,
+        "op6_exact_topk": TOPK_SQL,
+        "op9_mixing": MIXING_SQL,
+        "op12_conversation_trie": TRIE_SQL,
+        "op13_filter_audit": AUDIT_SQL,
+    }

@@ -1,0 +1,100 @@
+import random
+import re
+from collections import Counter
+from itertools import permutations
+
+import duckdb
+import pytest
+
+from farebox.llm import filter_audit
+
+DOCS = "doc_id long, text string, lang string, source string, part string, n int"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def brute_force(docs, labels):
+    """The audit by running each order over each document."""
+    first, good, toxic = {}, set(), set()
+    for doc_id, text, source in docs:
+        if doc_id is not None:
+            first[text or ""] = min(first.get(text or "", doc_id), doc_id)
+    for doc_id, quality, bad in labels:
+        if doc_id is not None:
+            good |= {doc_id} if quality == 1 else set()
+            toxic |= {doc_id} if bad == 1 else set()
+    counts, parts = Counter(), set()
+    for doc_id, text, source in docs:
+        text, part = text or "", source or ""
+        parts.add(part)
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        fails = {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 2 * len(text),
+            "D": bool(re.search(r"[#$%&*|]", text)),
+            "E": doc_id is not None and first[text] < doc_id,
+        }
+        for order in permutations("ABCDE"):
+            gone = False
+            for step, f in enumerate(order, 1):
+                key = (part, "".join(order), step)
+                here = fails[f] and not gone
+                counts[key, "kept"] += not gone and not fails[f]
+                counts[key, "removed"] += here
+                counts[key, "redundant"] += gone and fails[f]
+                counts[key, "unique_fails"] += fails[f] and sum(fails.values()) == 1
+                counts[key, "good_lost"] += here and doc_id in good
+                counts[key, "toxic_lost"] += here and doc_id in toxic
+                counts[part, f] += here
+                gone |= fails[f]
+    rows = []
+    for part in parts:
+        for order in map("".join, permutations("ABCDE")):
+            for step in range(1, 6):
+                rows.append((part, order, step, *[counts[(part, order, step), c] for c in filter_audit.COUNTS], counts[part, order[step - 1]]))
+    return sorted(rows)
+
+
+def random_docs(rng, n):
+    many = [f"w{i}" for i in range(400)]
+    texts = ["", None, "A" * 3, "few words", "a # b", " ".join(many[:250]), " ".join(many[:60] * 5), "B" * 20 + " ".join(many[:250]) + " | "]
+    texts += ["long " + "ß" * 300_000 + " #", "\x85   x\x1cy", " ".join(many[:200]), " ".join(many[:199]), " ".join(many[:100] * 2)]
+    ids = [*range(n // 2), None]
+    return [(rng.choice(ids), rng.choice(texts), rng.choice(["a", "b", "", None])) for _ in range(n)]
+
+
+def test_equals_brute_force(spark):
+    rng = random.Random(3)
+    docs = random_docs(rng, 200)
+    labels = [(rng.choice([None, *range(120)]), rng.choice([0, 1, None]), rng.choice([0, 1, None])) for _ in range(100)]
+    df = spark.createDataFrame([(i, t, "en", s, "clash", 1) for i, t, s in docs], DOCS).repartition(7)
+    out = filter_audit.filter_audit(df, spark.createDataFrame(labels, LABELS))
+    assert out.columns == ["part", "filter_order", "step", *filter_audit.COUNTS, "shapley"]
+    assert sorted(map(tuple, out.collect())) == brute_force(docs, labels)
+
+
+def test_sql_has_the_same_reading_of_nulls_and_ties(spark):
+    rng = random.Random(4)
+    docs = [(i, t, "en", s, "x", 1) for i, t, s in random_docs(rng, 60)]
+    labels = [(k, (k or 0) % 2, (k or 0) % 3 == 0) for k in [*range(30), 5, None]]
+    base = duckdb.connect()
+    base.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, part VARCHAR, n INT)")
+    base.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?, ?)", docs)
+    base.execute("CREATE TABLE labels (doc_id BIGINT, quality INT, toxic INT)")
+    base.executemany("INSERT INTO labels VALUES (?, ?, ?)", labels)
+    out = filter_audit.filter_audit(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(a, b, int(c)) for a, b, c in labels], LABELS))
+    names = ", ".join(out.columns)
+    assert sorted(map(tuple, out.collect())) == sorted(base.execute(f"SELECT {names} FROM ({filter_audit.ORACLE})").fetchall())
+
+
+def test_no_documents(spark):
+    labels = spark.createDataFrame([(1, 1, 1)], LABELS)
+    assert filter_audit.filter_audit(spark.createDataFrame([], DOCS), labels).count() == 0
+
+
+@pytest.mark.parametrize("labels", [[], [(None, None, None)]])
+def test_no_labels(spark, labels):
+    df = spark.createDataFrame([(1, "x", "en", "s", "p", 1)], DOCS)
+    out = filter_audit.filter_audit(df, spark.createDataFrame(labels, LABELS))
+    assert out.count() == 600 and out.where("removed > 0").select("filter_order", "step").count() == 120
+    assert out.agg({"good_lost": "max", "shapley": "max"}).first()[1] == 120
