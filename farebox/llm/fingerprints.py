@@ -17,8 +17,8 @@ from farebox.llm.shared import parts_of, table
 SPAN, SLOTS = 16, 128
 #: Values of a slot: 0 is empty.
 VALUES = 15
-#: Rows of one range of ids, about.
-RANGE_ROWS = 20_000
+#: Rows of one range of ids, about, and ranges at most: more rows make longer ranges, which are streams.
+RANGE_ROWS, RANGES = 2_000, 50_000
 #: Odd multipliers of the 64-bit finalizer of MurmurHash3.
 MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
 
@@ -163,7 +163,7 @@ def fingerprints(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     rows = read.count()
     if not rows:
         return docs.sparkSession.createDataFrame([], RESULT)
-    ranges = rows // range_rows + 1
+    ranges = min(rows // range_rows + 1, RANGES)
     placed = _in_ranges(read, ranges).withColumn("sha", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     dealt = _with_heads(placed).repartition(max(ranges, parts_of(docs.sparkSession)), "range_")
     in_order = dealt.sortWithinPartitions("range_", "last", F.col("doc_id").desc_nulls_last(), "sha")
