@@ -33,6 +33,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
+def source_rows(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the files that trips have their positions in; only footers are read."""
+    return _table(spark, sf_dir, "lineitem").count()
+
+
 def raw_trips(spark: SparkSession, sf_dir: str, positions: bool = False) -> DataFrame:
     """One trip per line item, in the raw schema, on request with its position in the lineitem files.
 

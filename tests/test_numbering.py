@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,6 +34,23 @@ def test_repeated_positions_still_get_distinct_ids(spark):
     assert sorted(r[0] for r in rows(number_rows(df, "id", block_rows=2))) == [1, 2, 3, 4, 5, 6]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_bitmaps_give_the_same_ids_and_leave_the_rows_where_they_are(spark, seed, conf):
+    rng = random.Random(seed)
+    edges = [0, 1, 62, 63, 64, 65, 4095, 4096, 4097, 8191, 100_000, 2**31, 2**40 + 63]
+    files = {5: sorted(rng.sample(range(9000), 700)), -9: edges, 2: [0], 7: range(4096 * 2)}
+    df = positioned(spark, files)
+    out = number_rows(df, "id", source_rows=2**20)
+    assert out.columns == ["id", "x"]
+    assert sorted(rows(out)) == sorted(rows(number_rows(df, "id")))
+    plan = plan_of(number_rows(df, "id", source_rows=2**20))
+    final = plan[: plan.index("BroadcastExchange")] if "BroadcastExchange" in plan else plan
+    assert "BroadcastHashJoin" in final and "Window" not in final
+    assert rows(number_rows(df.where("x < -1e9"), "id", source_rows=100)) == []
+    # too many rows for the bound of the broadcast
+    assert "row_number" in plan_of(number_rows(df, "id", source_rows=2**40))
+
+
 def test_no_rows(spark):
     assert rows(number_rows(positioned(spark, {1: [1]}).where("x < 0"), "id")) == []
 
