@@ -76,11 +76,15 @@ FACT = StructType([StructField("trip_id", LongType()), *ENRICHED.fields])
 # Where a trip lies in its source file: hash of the file's path, row in the file.
 # The pair is the same in every run over the same files, whatever the splits.
 POSITION = ("source_file", "source_row")
+# The month in the name of the file that a trip comes from, where a reader was asked for it.
+SOURCE_MONTH = "source_month"
+PICKUP = "tpep_pickup_datetime"
 
 
 def position_columns(df: DataFrame) -> list[str]:
-    """The position columns ``df`` carries, if it carries both."""
-    return list(POSITION) if set(POSITION) <= set(df.columns) else []
+    """The position columns ``df`` carries, if it carries both, and the month of the source file."""
+    found = list(POSITION) if set(POSITION) <= set(df.columns) else []
+    return [*found, SOURCE_MONTH] if SOURCE_MONTH in df.columns else found
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:

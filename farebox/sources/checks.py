@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from farebox.functions.time import calendar_day, second_number
-from farebox.sources.trips import list_files
+from farebox.schemas import PICKUP, RAW_TRIPS
+from farebox.sources.trips import list_files, month_of_file, scan_trips
 
 # Name of a month's trip file, and the declared age limits.
 MONTH_FILE = "yellow_tripdata_{month}.parquet"
@@ -47,6 +51,12 @@ def missing_months(trips: DataFrame, ts: str, first: date | str, last: date | st
     return expected.join(observed, "month", "left_anti")
 
 
+def month_pattern(name: str) -> str:
+    """A pattern that finds the month in the path of a file named like ``name``."""
+    head, tail = map(re.escape, name.split("{month}"))
+    return f"{head}(\\d{{4}}-\\d{{2}}){tail}"
+
+
 def missing_month_files(
     spark: SparkSession,
     directory: str,
@@ -55,10 +65,8 @@ def missing_month_files(
     name: str = MONTH_FILE,
 ) -> DataFrame:
     """Months from ``first`` to ``last`` without a trip file. Only lists the directory."""
-    head, tail = name.split("{month}")
-    listed = list_files(spark, f"{directory}/{head}*{tail}")
-    found = F.regexp_extract("path", f"\\Q{head}\\E(\\d{{4}}-\\d{{2}})\\Q{tail}\\E", 1)
-    observed = listed.select(found.alias("month")).distinct()
+    listed = list_files(spark, f"{directory}/{name.format(month='*')}")
+    observed = listed.select(month_of_file(F.col("path"), month_pattern(name)).alias("month")).distinct()
     return _expected_months(spark, first, last).join(observed, "month", "left_anti")
 
 
@@ -94,6 +102,18 @@ def freshness(
     return newest.select("max_loaded_at", age_seconds.alias("age_seconds"), status.alias("status"))
 
 
+def newest_pickup(spark: SparkSession, footers: Sequence[Row]) -> DataFrame:
+    """One row, the largest pickup time of some files: from their footers, which need no column.
+
+    Only files whose footers don't tell (no statistics, or a zoned type) are scanned.
+    """
+    known = spark.createDataFrame([(row["last"],) for row in footers if row.bounded], f"{PICKUP} timestamp_ntz")
+    silent = [row for row in footers if not row.bounded]
+    if silent:
+        known = known.union(scan_trips(spark, silent, StructType([RAW_TRIPS[PICKUP]]), positions=False))
+    return known.agg(F.max(PICKUP).alias(PICKUP))
+
+
 def profile(source: DataFrame, ts: str) -> DataFrame:
     """Row counts of a raw relation: in all, per year and per date of ``ts``.
 

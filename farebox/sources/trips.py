@@ -13,83 +13,40 @@ be read as NULL there, and its trips would silently fail the validity rule.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator, Sequence
+import json
+from collections.abc import Sequence
+from datetime import datetime
 from functools import reduce
 
-import pandas as pd
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from farebox.schemas import POSITION, RAW_TRIPS, conform
+from farebox.functions.time import calendar_parts
+from farebox.schemas import PICKUP, POSITION, RAW_TRIPS, SOURCE_MONTH, conform
+from farebox.sinks import PICKUP_MONTH, cluster
+from farebox.sources.footers import listed_files, read_footers
 
 #: Files named in an error message.
 NAMED_FILES = 5
 
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
-    """Paths of the files behind a path or glob, as a ``path`` column.
+    """Paths of the files behind a path or glob, as a ``path`` column; only the listing is read."""
+    return listed_files(spark, pattern).select("path")
 
-    Only the listing is read, not the files. A pattern without a match is empty.
-    """
-    try:
-        return spark.read.format("binaryFile").load(pattern).select("path")
-    except PySparkException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "path string")
-
-
-def _footers(names: Sequence[str]):
-    """Reads the footer of each file and returns how it stores the columns in ``names``."""
-    wanted = {name.lower() for name in names}
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import ArrowException, fs, parquet
-
-        for batch in batches:
-            rows = []
-            for path in batch["path"]:
-                try:
-                    local = re.sub("^file:/+", "/", path)
-                    store, inner = (fs.LocalFileSystem(), local) if local.startswith("/") else fs.FileSystem.from_uri(path)
-                    with store.open_input_file(inner) as file:
-                        schema = parquet.ParquetFile(file).schema
-                    columns = [schema.column(i) for i in range(len(schema))]
-                    stored = sorted(f"{c.path.lower()} {c.physical_type} {c.logical_type}" for c in columns if c.path.lower() in wanted)
-                    rows.append((path, "\n".join(stored)))
-                except (ArrowException, OSError):
-                    rows.append((path, None))
-            yield pd.DataFrame(rows, columns=["path", "stored"])
-
-    return run
-
-
-def stored_columns(spark: SparkSession, listed: DataFrame, names: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted files by how they store the columns ``names``: a line for each column there is.
-
-    One distributed pass reads all footers, whatever the order of the files. Where
-    a store is out of reach for the tasks' Python, Spark infers those files' schemas
-    one by one.
-    """
-    tasks = spark.sparkContext.defaultParallelism
-    found = listed.distinct().repartition(tasks, "path").mapInPandas(_footers(names), "path string, stored string")
-    groups: dict[str, list[str]] = {}
-    wanted = {name.lower() for name in names}
-    for row in sorted(found.collect()):
-        stored = row.stored
-        if stored is None:
-            fields = [f for f in spark.read.parquet(row.path).schema if f.name.lower() in wanted]
-            stored = "\n".join(sorted(f"{f.name.lower()} {f.dataType.simpleString()}" for f in fields))
-        groups.setdefault(stored, []).append(row.path)
+
+def stored_columns(rows: Sequence[Row]) -> dict[tuple[str, str], list[str]]:
+    """Sorted files by how they store the declared columns: a line for each column there is, and Spark's schema."""
+    groups: dict[tuple[str, str], list[str]] = {}
+    for row in sorted(rows, key=lambda row: row.path):
+        groups.setdefault((row.stored, row.physical), []).append(row.path)
     return groups
 
 
-def _require_columns(groups: dict[str, list[str]], declared: StructType, optional: Sequence[str]) -> None:
+def _require_columns(groups: dict[tuple[str, str], list[str]], declared: StructType, optional: Sequence[str]) -> None:
     """Raise if any file lacks a declared column that isn't optional, and name both."""
     faults = []
-    for stored, files in groups.items():
+    for (stored, _), files in groups.items():
         there = {line.split(" ")[0] for line in stored.split("\n")}
         missing = [f.name for f in declared if f.name.lower() not in there and f.name not in optional]
         if missing:
@@ -118,19 +75,43 @@ def read_trips(
     ``optional``: then it is NULL there. With ``positions`` each row carries where it lies
     in its source file, which costs nothing unless a later step reads it.
     """
-    listed = reduce(DataFrame.union, (list_files(spark, pattern) for pattern in patterns))
-    stored = stored_columns(spark, listed, schema.names)
-    if not stored:
+    listed = reduce(DataFrame.union, (listed_files(spark, pattern) for pattern in patterns))
+    found = read_footers(spark, listed, schema.names)
+    if not found:
         raise FileNotFoundError(f"no trip files behind {list(patterns)}")
+    return scan_trips(spark, found, schema, positions, optional)
+
+
+def scan_trips(
+    spark: SparkSession,
+    footers: Sequence[Row],
+    schema: StructType = RAW_TRIPS,
+    positions: bool = True,
+    optional: Sequence[str] = (),
+    month_in: str | None = None,
+    between: tuple[datetime, datetime] | None = None,
+) -> DataFrame:
+    """The trips of files whose footers are known, as ``read_trips`` gives them; no footer is opened here.
+
+    With ``month_in``, a pattern with one group, rows also carry the month in their file's name.
+    With ``between``, files whose footers rule out any pickup in [first, last) are not read; rows
+    of the others are not filtered.
+    """
+    if between:
+        first, last = between
+        footers = [f for f in footers if not f.bounded or f["last"] is not None and f["first"] < last and f["last"] >= first]
+    stored = stored_columns(footers)
     _require_columns(stored, schema, optional)
     groups: dict[str, tuple[StructType, list[str]]] = {}
-    for files in stored.values():
-        physical = _physical(spark.read.parquet(files[0]).schema, schema)
+    for (_, found), files in stored.items():
+        physical = _physical(StructType.fromJson(json.loads(found)), schema)
         groups.setdefault(physical.json(), (physical, []))[1].extend(files)
-    return reduce(
-        DataFrame.unionByName,
-        (_scan(spark, files, physical, schema, positions) for physical, files in groups.values()),
-    )
+    scans = [_scan(spark, files, physical, schema, positions, month_in) for physical, files in groups.values()]
+    if scans:
+        return reduce(DataFrame.unionByName, scans)
+    extra = [StructField(POSITION[0], LongType()), StructField(POSITION[1], LongType())] * positions
+    extra += [StructField(SOURCE_MONTH, StringType())] * bool(month_in)
+    return spark.createDataFrame([], StructType([*schema.fields, *extra]))
 
 
 def _scan(
@@ -139,15 +120,21 @@ def _scan(
     physical: StructType,
     schema: StructType,
     positions: bool,
+    month_in: str | None,
 ) -> DataFrame:
     trips = spark.read.schema(physical).parquet(*paths)
+    where = []
     if positions:
-        trips = trips.select(
-            "*",
-            F.xxhash64("_metadata.file_path").alias(POSITION[0]),
-            F.col("_metadata.row_index").alias(POSITION[1]),
-        )
-    return conform(trips, schema)
+        where += [F.xxhash64("_metadata.file_path").alias(POSITION[0]), F.col("_metadata.row_index").alias(POSITION[1])]
+    if month_in:
+        where.append(month_of_file(F.col("_metadata.file_path"), month_in).alias(SOURCE_MONTH))
+    return conform(trips.select("*", *where), schema)
+
+
+def month_of_file(path: Column, month_in: str) -> Column:
+    """The month in a file's path, ``other`` where there is none."""
+    found = F.regexp_extract(path, month_in, 1)
+    return F.when(found == "", "other").otherwise(found)
 
 
 def registered_table(spark: SparkSession, schema: str, table: str) -> DataFrame:
@@ -155,7 +142,16 @@ def registered_table(spark: SparkSession, schema: str, table: str) -> DataFrame:
     return spark.table(f"{schema}.{table}")
 
 
-def ingest(spark: SparkSession, pattern: str, table: str) -> DataFrame:
-    """Replace a catalog table with the trips behind a glob, and return the table."""
-    read_trips(spark, pattern, positions=False).write.mode("overwrite").saveAsTable(table)
+def ingest(spark: SparkSession, pattern: str, table: str, path: str | None = None) -> DataFrame:
+    """Replace a catalog table with the trips behind a glob, and return the table.
+
+    The table is partitioned by the year and month of the pickup (trips without one have
+    their own partition), its files follow the size of the months, and row count and size are
+    registered for the optimizer. ``path`` places the table outside the warehouse.
+    """
+    trips = read_trips(spark, pattern, positions=False)
+    dated = trips.select("*", *calendar_parts(PICKUP)).drop("pickup_hour")
+    writer = cluster(dated, PICKUP_MONTH).write.mode("overwrite").partitionBy(*PICKUP_MONTH)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
     return spark.table(table)

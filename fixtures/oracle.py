@@ -208,5 +208,22 @@ def oracle_sql(year: int, day: str, high_volume: int, now: str, months: tuple[st
         "run_zone_performance": bodies["zone_performance"],
         "run_quality_report": bodies["quality_report"],
         "run_historical": bodies["historical_daily"],
+        "grown_fct_trips": "SELECT * EXCLUDE (trip_id) FROM facts",
+        "grown_daily_revenue": bodies["daily_revenue"],
+        "published_views": f"""
+            SELECT 'stg_yellow_trips' AS name, 0 AS place, CAST(NULL AS DATE) AS day, count(*) AS trips FROM staged
+            UNION ALL SELECT 'stg_taxi_zones', 0, NULL, count(*) FROM zones
+            UNION ALL SELECT 'int_trips_enriched', 0, NULL, count(*) FROM enriched
+            UNION ALL SELECT 'fct_trips', 0, NULL, count(*) FROM facts
+            UNION ALL SELECT 'dim_zones', 0, NULL, count(*) FROM dimension
+            UNION ALL SELECT 'agg_daily_revenue', 0, NULL, count(DISTINCT CAST(pickup_datetime AS DATE)) FROM enriched
+            UNION ALL SELECT 'agg_zone_performance', 0, NULL, count(*)
+                      FROM (SELECT DISTINCT pickup_zone, pickup_borough, pickup_year, pickup_month FROM enriched)
+            UNION ALL SELECT * FROM (
+                SELECT 'best', row_number() OVER (ORDER BY {money_sum('total_amount')} DESC, CAST(pickup_datetime AS DATE)) AS place,
+                       CAST(pickup_datetime AS DATE), count(*)
+                FROM enriched GROUP BY CAST(pickup_datetime AS DATE) ORDER BY place LIMIT 10)""",
+        "ingested_trips": f"SELECT * EXCLUDE (pos) FROM staged WHERE {in_year}",
+        "file_freshness": bodies["source_freshness"],
     }
     return {key: _statement(" ".join(body.split())) for key, body in bodies.items()}
