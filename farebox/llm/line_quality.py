@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from math import exp, log1p
 from typing import NamedTuple
 
 import numpy as np
@@ -115,6 +116,49 @@ def marginals(scores: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> tupl
     return good[live], expected
 
 
+def _alone(odds: float, scores: np.ndarray, table: np.ndarray) -> list[float]:
+    """Log odds of one text's messages after each of ``scores``, own score included."""
+    (p00, p01), (p10, p11) = table.tolist()
+    out = []
+    for own in scores.tolist():
+        a, b, c, d = p01, odds + p11, p00, odds + p10
+        good = max(a, b) + log1p(exp(-abs(a - b)))
+        bad = max(c, d) + log1p(exp(-abs(c - d)))
+        odds = own + good - bad
+        out.append(odds)
+    return out
+
+
+def _odds(scores: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """P(good) of each line, as ``marginals`` gives it, from the log odds of the messages alone.
+
+    With two labels a message is known by its odds, so a step is a few operations on
+    one number per text. Texts are ordered by length, and each step takes those that go on.
+    """
+    order = np.argsort(-counts, kind="stable")
+    many = np.searchsorted(-counts[order], -np.arange(counts.max()), "left")
+    first = (np.cumsum(counts) - counts)[order]
+    last = first + counts[order] - 1
+
+    def through(odds: np.ndarray, table: np.ndarray) -> np.ndarray:
+        return np.logaddexp(table[0, 1], odds + table[1, 1]) - np.logaddexp(table[0, 0], odds + table[1, 0])
+
+    ahead, back = scores.copy(), np.zeros(len(scores))
+    # where one text goes on alone, single numbers are quicker than arrays of one
+    alone = max(1, int(np.searchsorted(-many, -1, "left")))
+    for t in range(1, alone):
+        at = first[: many[t]] + t
+        ahead[at] += through(ahead[at - 1], pairs)
+    for t in range(1, alone):
+        at = last[: many[t]] - t
+        back[at] = through(back[at + 1] + scores[at + 1], pairs.T)
+    if alone < len(many):
+        a, z = int(first[0]), int(last[0]) + 1
+        ahead[a + alone : z] = _alone(ahead[a + alone - 1], scores[a + alone : z], pairs)
+        back[a : z - alone] = _alone(back[z - alone] + scores[z - alone], scores[a : z - alone][::-1], pairs.T)[::-1] - scores[a : z - alone]
+    return 1 / (1 + np.exp(np.clip(-(ahead + back), -500, 500)))
+
+
 def _batches(counts: np.ndarray) -> Iterator[np.ndarray]:
     """Texts of like numbers of lines, so that little is padded."""
     order = np.argsort(counts, kind="stable")
@@ -144,6 +188,11 @@ def line_marginals(x: np.ndarray, counts: np.ndarray, field: Field) -> tuple[np.
     return out, expected
 
 
+def line_odds(x: np.ndarray, counts: np.ndarray, field: Field) -> np.ndarray:
+    """P(good) of each line, without the pairs that only a fit needs."""
+    return _odds(x @ field.weights, counts, field.pairs)
+
+
 def fit_field(x: np.ndarray, counts: np.ndarray, labels: np.ndarray) -> Field:
     """Largest conditional likelihood of the label sequences; each line carries its text's label.
 
@@ -172,7 +221,7 @@ def score(texts: list[str | None], field: Field) -> np.ndarray:
             size += len(texts[stop] or "")
             stop += 1
         x, weight, counts = line_features(texts[at:stop])
-        good, _ = line_marginals(x, counts, field)
+        good = line_odds(x, counts, field)
         first = np.cumsum(counts) - counts
         total = np.add.reduceat(weight, first)
         weight = np.where(np.repeat(total, counts) > 0, weight, 1)
@@ -184,6 +233,7 @@ def score(texts: list[str | None], field: Field) -> np.ndarray:
 def learn_field(docs: DataFrame, labels: DataFrame, fitted: int = FITTED) -> Field | None:
     """Field fitted on at most ``fitted`` labelled texts; None without both labels.
 
+    Of labels, and of texts that repeat an id, the first ``fitted`` in a fixed order are taken.
     Their features are taken where the texts are; the sample's ids are few enough to
     be sent there.
     """
@@ -197,7 +247,7 @@ def learn_field(docs: DataFrame, labels: DataFrame, fitted: int = FITTED) -> Fie
                 x, _, counts = line_features([text])
                 yield pd.DataFrame({"doc_id": [doc_id], "quality": [quality], "lines": [int(counts[0])], "x": [x.astype("<f4").tobytes()]})
 
-    rows = found.mapInPandas(run, "doc_id long, quality int, lines int, x binary").orderBy("doc_id", "quality", "lines", "x").limit(2 * fitted).collect()
+    rows = found.mapInPandas(run, "doc_id long, quality int, lines int, x binary").orderBy("doc_id", "quality", "lines", "x").limit(fitted).collect()
     if len({r.quality for r in rows}) < 2:
         return None
     counts = np.array([r.lines for r in rows])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -21,12 +22,16 @@ def _own_folder() -> str:
 class Scratch:
     """Tables of one run, in a new folder below ``spark.checkpoint.dir``.
 
-    A written table cuts the lineage and survives lost executors. Only where the
-    session names no shared folder (tests on one machine) a temporary one is made.
+    A written table cuts the lineage and survives lost executors. A session on one
+    machine that names no shared folder gets a temporary one; on a cluster that is an error.
     """
 
     def __init__(self, spark: SparkSession, label: str):
-        root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            root = _own_folder()
         self.spark = spark
         self.folder = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

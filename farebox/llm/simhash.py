@@ -19,6 +19,8 @@ from farebox.llm.shared import Scratch, fresh, parts_of, row_key, table
 GOLAY, BITS, CHECKS, RADIUS = 0b110001110101, 23, 11, 3
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
 #: Homes of one anchor that meet its copies in one cell, about.
+#: Fingerprints for each bucket of comparisons, about.
+BUCKET_PRINTS = 20_000
 BLOCK = 4096
 
 
@@ -180,7 +182,8 @@ def links(prints: DataFrame, max_bits: int, scratch: Scratch, block: int = BLOCK
     one = F.array(F.struct(F.lit(0).alias("cell"), F.col("home")))
     dealt = F.when(F.col("cuts") == 1, one).when(F.col("home"), F.concat(as_home, as_copy)).otherwise(as_copy)
     near = met.select("anchor", "fp", F.explode(dealt).alias("to")).select("anchor", "fp", "to.cell", "to.home")
-    buckets = parts_of(spark)
+    # a fingerprint meets the homes of a few anchors; a bucket is one frame, so their number follows the fingerprints
+    buckets = max(parts_of(spark), prints.count() // BUCKET_PRINTS)
     near = near.withColumn("bucket", F.pmod(F.xxhash64("anchor", "cell"), F.lit(buckets)))
     return near.groupBy("bucket").applyInPandas(_compare(max_bits), "u long, v long")
 

@@ -37,7 +37,8 @@ def counter(pieces: dict[str, float], least: float) -> Callable[[str], tuple[int
     Aho-Corasick names the pieces that end at each place, longest first. The best
     score up to a place and the number of its pieces are all that is kept. Of equal
     scores the piece that starts first wins, as in tokenizers that extend from the
-    left and replace only by more. A character that is no piece itself may be
+    left and replace only by more. Only places within the longest piece are remembered,
+    so a text of any length takes the memory of that window. A character that is no piece itself may be
     unknown: it then counts as its UTF-8 bytes, and scores ``UNKNOWN_PENALTY`` below
     the worst piece.
     """
@@ -47,27 +48,31 @@ def counter(pieces: dict[str, float], least: float) -> Callable[[str], tuple[int
     if pieces:
         found.make_automaton()
     unknown = least - UNKNOWN_PENALTY
+    window = max(map(len, pieces), default=1) + 1
 
     def count(text: str) -> tuple[int, float]:
         n = len(text)
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        if pieces:
-            for end, match in found.iter(text):
-                ends[end].append(match)
-        best, number = [0.0] * (n + 1), [0] * (n + 1)
+        # the places that a piece can still reach back to, as a ring
+        best, number = [0.0] * window, [0] * window
+        matches = found.iter(text) if pieces else iter(())
+        end, match = next(matches, (n, None))
         for at in range(n):
             top, many, single = float("-inf"), 0, False
-            for size, score in ends[at]:
+            while end == at:
+                size, score = match
                 single = single or size == 1
-                total = best[at + 1 - size] + score
+                start = (at + 1 - size) % window
+                total = best[start] + score
                 if total > top:
-                    top, many = total, number[at + 1 - size] + 1
+                    top, many = total, number[start] + 1
+                end, match = next(matches, (n, None))
             if not single:
-                total = best[at] + unknown
+                start = at % window
+                total = best[start] + unknown
                 if total > top:
-                    top, many = total, number[at] + len(text[at].encode("utf-8", "surrogatepass"))
-            best[at + 1], number[at + 1] = top, many
-        return number[n], best[n]
+                    top, many = total, number[start] + len(text[at].encode("utf-8", "surrogatepass"))
+            best[(at + 1) % window], number[(at + 1) % window] = top, many
+        return number[n % window], best[n % window]
 
     return count
 

@@ -65,3 +65,14 @@ def test_nulls_repeats_and_clashing_columns(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert lq.line_quality(docs, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
+
+
+def test_odds_equal_marginals():
+    rng = np.random.default_rng(4)
+    counts = np.array([1, 7, 300, 1, 2, 40, 7, 1000])
+    scores = rng.normal(0, 3, counts.sum())
+    for pairs in (rng.normal(0, 2, (2, 2)), np.zeros((2, 2)), np.array([[5.0, -40.0], [-40.0, 5.0]])):
+        good, _ = lq.marginals(scores, counts, pairs)
+        assert np.abs(lq._odds(scores, counts, pairs) - good).max() < 1e-9
+        for a, n in zip(np.cumsum(counts) - counts, counts):
+            assert np.abs(lq._odds(scores[a : a + n], np.array([n]), pairs) - good[a : a + n]).max() < 1e-9

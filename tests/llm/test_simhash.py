@@ -95,3 +95,18 @@ def test_nulls_repeats_and_clashing_columns(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert simhash.simhash_groups(df).count() == 0 and simhash.keep_one(df).count() == 0
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from farebox.llm.shared import Scratch
+
+    session = lambda master, folder: SimpleNamespace(conf={"spark.checkpoint.dir": folder} if folder else {}, sparkContext=SimpleNamespace(master=master))
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            Scratch(session(master, None), "x")
+        assert Scratch(session(master, "/shared"), "x").folder.startswith("/shared/x-")
+    assert Scratch(session("local[4]", None), "x").folder

@@ -3,6 +3,7 @@ import random
 
 import public_tokenizers
 import pyarrow.parquet as pq
+import pytest
 import sentencepiece
 from tokenizers import Tokenizer, models
 
@@ -69,3 +70,14 @@ def test_table_nulls_and_repeats(spark):
     out = sorted(((r.doc_id, r.n_tokens, r.score) for r in tc.token_counts(df).collect()), key=str)
     assert out == sorted(((i, *tc.text_counter(PATH)(t)) for i, t in rows), key=str)
     assert tc.token_counts(df.limit(0)).count() == 0
+
+
+def test_a_very_long_word_takes_the_memory_of_a_window():
+    import tracemalloc
+
+    count = tc.counter({"a": -1.0, "ab": -1.5, "abc": -1.6, "c": -3.0}, -3.0)
+    word = "abcab" * 200_000
+    tracemalloc.start()
+    assert count(word) == (400_000, pytest.approx(-3.1 * 200_000))
+    assert tracemalloc.get_traced_memory()[1] < 10_000_000  # the matcher's copy of the word
+    tracemalloc.stop()
