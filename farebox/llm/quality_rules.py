@@ -22,7 +22,7 @@ NOISE = {"x_length": 0.1, "x_symbols": 0.05, "x_lines": 0.15, "x_repeat": 0.15,
 #: Texts with few words or lines say little about shares: so many neutral ones are added.
 PRIOR_WORDS, PRIOR_LINES = 10, 5
 #: Groups with fewer rows are pooled by language, and small languages with each other.
-MIN_GROUP = 100
+MIN_GROUP = 20
 #: Share of a group's rows that the determinant is minimised over, and steps at most.
 HALF, STEPS = 0.5, 8
 #: Chance of a larger distance in a normal population: rows beyond are rejected.
