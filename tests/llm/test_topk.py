@@ -26,7 +26,7 @@ def test_equals_brute_force(spark, monkeypatch):
     rows = [(int(i), [float(x) for x in v]) for i, v in zip(t.vec_id, t.embedding)]
     rows += [(10_000 + i, rows[200][1]) for i in range(300)]  # one very common vector
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    assert found(topk.top_products(df, sample=40)) == brute_force(rows)
+    assert found(topk.top_products(df, pivots=12, sample=40)) == brute_force(rows)
 
 
 def test_search_stops_early_and_stays_exact():
@@ -43,6 +43,38 @@ def test_search_stops_early_and_stays_exact():
         assert where.tolist() == np.lexsort((np.arange(4000), -exact[i]))[:10].tolist()
 
 
+def test_clustered_vectors_leave_most_cells_out(spark):
+    """On clusters, cells are left out before anything is sent, and the rest by their bounds."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 1, (40, 16))
+    v = centres[rng.integers(0, 40, 6000)] + rng.normal(0, 0.02, (6000, 16))
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found(topk.top_products(df)) == brute_force(rows)
+    scratch = topk.Scratch(spark, "test")
+    table = topk.pivot_table(df, scratch)
+    cells = topk.Cells(table, topk.PIVOTS)
+    many = {c: n for _, c, n in cells.sizes()}
+    ints = np.floor(1024 * v)
+    some = table.where("vec_id % 100 = 0").collect()
+    live = [sum(many[c] for c in cells.live(16, np.array(r.ints), np.array(r.far), np.sort(ints @ np.array(r.ints, float))[-11])) for r in some]
+    assert sum(live) < 0.2 * len(live) * len(v)
+
+
+def test_large_components_are_exact(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.integers(-(2**18), 2**18, 6)]) for i in range(300)]
+    rows += [(300, [2.0**20 + 0.5] * 6), (400, [2.0**19 + 1] * 6), (401, [-(2.0**20)] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ok = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
+    want = []
+    for q, a in ok:
+        if q % 100 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), c) for c, b in ok if c != q)[:10]
+            want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(scores)]
+    assert found(topk.top_products(df)) == sorted(want, key=str)
+
+
 def test_nulls_repeats_widths_and_clashing_columns(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (0, [1.0, 0.5]), (100, [-0.2, 0.3]), (1, None), (2, []), (3, [1.0, None]), (4, [nan, 1.0]), (5, [inf, 1.0]), (None, [1.0, 0.5]), (200, [0.1, 0.2, 0.3]), (6, [0.4, 0.4])]
