@@ -35,16 +35,6 @@ def _running_total_before(count: str, window) -> Column:
     return F.coalesce(before, F.lit(0).cast("bigint"))
 
 
-def _with_starts(blocks: DataFrame, count: str) -> DataFrame:
-    """``blocks`` with ``_start``, the rows of all files before and of the file's blocks before."""
-    file = POSITION[0]
-    files = blocks.groupBy(file).agg(F.sum(count).alias("_file_n"))
-    file_starts = files.select(file, _running_total_before("_file_n", Window.orderBy(file)).alias("_file_start"))
-    in_file = Window.partitionBy(file).orderBy("_block")
-    placed = blocks.withColumn("_block_start", _running_total_before(count, in_file)).join(file_starts, file)
-    return placed.withColumn("_start", F.col("_file_start") + F.col("_block_start")).drop("_file_start", "_block_start")
-
-
 def number_rows(
     rows: DataFrame,
     name: str,
@@ -71,7 +61,11 @@ def number_rows(
         return _number_by_bitmaps(rows, name, counted, columns)
     block = F.floor(F.col(row) / block_rows).cast("bigint").alias("_block")
     blocks = counted.groupBy(file, block).agg(F.count(F.lit(1)).alias("_n"))
-    starts = _with_starts(blocks, "_n").select(file, "_block", "_start")
+    files = blocks.groupBy(file).agg(F.sum("_n").alias("_file_n"))
+    file_starts = files.select(file, _running_total_before("_file_n", Window.orderBy(file)).alias("_file_start"))
+    in_file = Window.partitionBy(file).orderBy("_block")
+    starts = blocks.withColumn("_block_start", _running_total_before("_n", in_file)).join(file_starts, file)
+    starts = starts.select(file, "_block", (F.col("_file_start") + F.col("_block_start")).alias("_start"))
 
     # The window's partitioning and order also serve the join: one shuffle, one sort.
     in_block = Window.partitionBy(file, "_block").orderBy(row)
@@ -95,9 +89,9 @@ def _number_by_bitmaps(rows: DataFrame, name: str, counted: DataFrame, columns:
     every = F.sequence(F.lit(0), F.lit(BLOCK_WORDS - 1))
     blocks = blocks.withColumn("_words", F.transform(every, lambda i: F.coalesce(F.col("_by_word")[i], F.lit(0).cast("bigint"))))
     before = lambda i: F.aggregate(F.slice("_words", 1, i), F.lit(0), lambda n, w: n + F.bit_count(w))
-    ranks = _with_starts(blocks, "_n").select(
-        F.col(file).alias("_file"), "_block", "_start", "_words", F.transform(every, before).alias("_before")
-    )
+    # all blocks are broadcast in a moment, so one task may as well order them
+    start = _running_total_before("_n", Window.orderBy(file, "_block"))
+    ranks = blocks.select(F.col(file).alias("_file"), "_block", start.alias("_start"), "_words", F.transform(every, before).alias("_before"))
     mine = F.shiftright(at(row), WORD_SHIFT).bitwiseAND(BLOCK_WORDS - 1).cast("int")
     below = F.expr(f"_words[_at] & ~shiftleft(-1L, cast({row} & {(1 << WORD_SHIFT) - 1} as int))")
     placed = rows.withColumn("_at", mine)

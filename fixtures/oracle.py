@@ -120,6 +120,7 @@ def oracle_sql(year: int, day: str, high_volume: int, now: str, months: tuple[st
         "staged_zones": "SELECT * FROM zones",
         "enriched_trips": "SELECT * EXCLUDE (pos) FROM enriched",
         "trip_facts": "SELECT * FROM facts",
+        "bitmap_facts": "SELECT * FROM facts",
         "dim_zones": "SELECT * FROM dimension",
         "daily_revenue": f"""
             SELECT CAST(pickup_datetime AS DATE) AS trip_date, count(*) AS total_trips,
