@@ -16,9 +16,10 @@ ROLES = ("pickup", "dropoff")
 # A zone table is broadcast only up to both of these; beyond them the join shuffles.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Trips of one id that one salt holds, about, and ids that can have salts.
+# Trips of one id that one salt holds, about, and ids that can have salts. An id that is not
+# among so many more frequent ones holds no more than a 100,000th of all trips.
 SALT_ROWS = 1_000_000
-HOT_IDS = 1_000
+HOT_IDS = 100_000
 
 
 def _valid(measure: Column, low: int, high: int) -> Column:
@@ -99,7 +100,8 @@ def measure_salts(trips: DataFrame, roles: Sequence[str], salt_rows: int | None
 
     One pass over the id columns counts all roles. The ``HOT_IDS`` most frequent ids of
     each role with more than one salt's rows come to the driver, a list of fixed
-    bound, so the joins need no second look at the trips.
+    bound, so the joins need no second look at the trips. An id beyond that list is no
+    hot one: so many others are more frequent that it has at most their share.
     """
     salt_rows = salt_rows or SALT_ROWS
     ids = F.array(*[F.struct(F.lit(role).alias("_role"), F.col(f"{role}_location_id").alias("_hot")) for role in roles])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 PICKUP_MONTH = ("pickup_year", "pickup_month")
 
@@ -41,3 +41,16 @@ def write_monthly(daily: DataFrame, path: str) -> None:
     Only for relations with few rows per month: all rows of a month meet in one task.
     """
     write_parquet(daily.repartition(*PICKUP_MONTH), path, PICKUP_MONTH)
+
+
+def save_by_zone_day(trips: DataFrame, name: str, buckets: int, path: str | None = None) -> None:
+    """Replace a catalog table of trips bucketed by pickup zone and date, in order of the pickup.
+
+    Windows and counts per zone and day then need no shuffle, at any number of reads. A bucket
+    is one task of a read, so ``buckets`` sets its size: some hundred MB each.
+    """
+    dated = trips.withColumn("trip_date", F.to_date("pickup_datetime"))
+    keys = ["pickup_zone", "trip_date"]
+    # one file per bucket: each task has whole buckets
+    writer = dated.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys, "pickup_datetime")
+    (writer.option("path", path) if path else writer).saveAsTable(name)

@@ -12,9 +12,11 @@ from farebox import storage
 from farebox.functions.time import half_open
 from farebox.operators.staging import stage_trips
 from farebox.plans import pipeline
+from farebox.plans.analytics import max_gap_by_zone_day
 from farebox.plans.historical import run_historical
 from farebox.plans.pipeline import PipelineConfig, build_relations
 from farebox.schemas import PICKUP
+from farebox.sinks import save_by_zone_day
 from farebox.sources.checks import freshness, newest_pickup
 from farebox.sources.footers import refresh_footers
 from farebox.sources.trips import ingest, registered_table
@@ -97,6 +99,14 @@ def ingested(spark: SparkSession, sf_dir: str, high_volume: int, start: str, end
     return stage_trips(table.where(inside))
 
 
+def clustered_gaps(trips: DataFrame, start: str, end: str, buckets: int = 8) -> DataFrame:
+    """The longest gaps, from a table bucketed by zone and date."""
+    spark = trips.sparkSession
+    name = f"zone_days_{uuid.uuid4().hex}"
+    save_by_zone_day(trips, name, buckets, f"{shared_folder(spark)}/{name}")
+    return max_gap_by_zone_day(spark.table(name), None, start, end)
+
+
 def file_freshness(spark: SparkSession, sf_dir: str, high_volume: int, now: datetime) -> DataFrame:
     """Freshness of the month files from their footers: no column is read."""
     conf = write_sources(spark, sf_dir, high_volume)

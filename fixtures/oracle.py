@@ -209,6 +209,7 @@ def oracle_sql(year: int, day: str, high_volume: int, now: str, months: tuple[st
         "run_zone_performance": bodies["zone_performance"],
         "run_quality_report": bodies["quality_report"],
         "run_historical": bodies["historical_daily"],
+        "clustered_max_gap": bodies["max_gap_by_zone_day"],
         "grown_fct_trips": "SELECT * EXCLUDE (trip_id) FROM facts",
         "grown_daily_revenue": bodies["daily_revenue"],
         "published_views": f"""
