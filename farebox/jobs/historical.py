@@ -6,16 +6,17 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from farebox.plans.historical import run_historical
+from farebox.plans.historical import run_historical, update_historical
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--input", required=True, help="glob of trip files")
     parser.add_argument("--output", required=True)
+    parser.add_argument("--update", action="store_true", help="replace only the months that changed files can touch")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("farebox-historical").getOrCreate()
-    run_historical(spark, args.input, args.output)
+    (update_historical if args.update else run_historical)(spark, args.input, args.output)
 
 
 if __name__ == "__main__":

@@ -43,6 +43,12 @@ def write_monthly(daily: DataFrame, path: str) -> None:
     write_parquet(daily.repartition(*PICKUP_MONTH), path, PICKUP_MONTH)
 
 
+def replace_monthly(daily: DataFrame, path: str) -> None:
+    """Replace the months that ``daily`` has rows of, and leave the others as they are."""
+    writer = daily.repartition(*PICKUP_MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PICKUP_MONTH).parquet(path)
+
+
 def save_by_zone_day(trips: DataFrame, name: str, buckets: int, path: str | None = None) -> None:
     """Replace a catalog table of trips bucketed by pickup zone and date, in order of the pickup.
 

@@ -106,23 +106,37 @@ def read_footers(spark: SparkSession, listed: DataFrame, names: Sequence[str] =
     return rows
 
 
-def refresh_footers(spark: SparkSession, pattern: str, folder: str) -> list[Row]:
-    """The rows of all files behind ``pattern``, from the table in ``folder`` as far as it knows them.
+def compare_footers(spark: SparkSession, pattern: str, folder: str) -> tuple[list[Row], list[Row]]:
+    """The rows of all files behind ``pattern``, from the table in ``folder`` as far as it knows them, and what differs:
+    the rows of new files, and those that the table has of files that are gone or changed.
 
-    Only the footers of new and changed files are opened; if there are any, or files
-    have gone, a new table is written beside the old one and takes its place when it is whole.
+    Only the footers of new and changed files are opened. The table stays as it is.
     """
     listed = listed_files(spark, pattern)
     whole = storage.complete(spark, folder, "_SUCCESS")
-    known = spark.read.schema(FOOTERS).parquet(f"{folder}/v={whole[-1]}") if whole else spark.createDataFrame([], FOOTERS)
-    same = ["path", "length", "modified"]
-    still = known.join(listed, same, "left_semi").select(known.columns).collect()
-    new = listed.join(known, same, "left_anti")
-    new_rows = [] if new.isEmpty() else read_footers(spark, new)
-    if new_rows or len(still) < (known.count() if whole else 0):
-        rows = [tuple(row[c] for c in known.columns) for row in [*still, *new_rows]]
-        number = storage.next_number(spark, folder)
-        spark.createDataFrame(rows, FOOTERS).coalesce(1).write.parquet(f"{folder}/v={number}")
-        for old in whole:
-            storage.delete(spark, f"{folder}/v={old}")
-    return sorted([*still, *new_rows], key=lambda row: row.path)
+    known = spark.read.schema(FOOTERS).parquet(f"{folder}/v={whole[-1]}").collect() if whole else []
+    now = {tuple(row) for row in listed.collect()}
+    still = [row for row in known if (row.path, row.length, row.modified) in now]
+    there = {(row.path, row.length, row.modified) for row in known}
+    new = [row for row in sorted(now) if row not in there]
+    opened = read_footers(spark, spark.createDataFrame(new, LISTED)) if new else []
+    gone = [row for row in known if (row.path, row.length, row.modified) not in now]
+    return sorted([*still, *opened], key=lambda row: row.path), [*opened, *gone]
+
+
+def store_footers(spark: SparkSession, rows: Sequence[Row], folder: str) -> None:
+    """Write a new table beside the old one; it takes its place when it is whole."""
+    old = storage.complete(spark, folder, "_SUCCESS")
+    columns = [field.split()[0] for field in FOOTERS.split(", ")]
+    values = [tuple(row[c] for c in columns) for row in rows]
+    spark.createDataFrame(values, FOOTERS).coalesce(1).write.parquet(f"{folder}/v={storage.next_number(spark, folder)}")
+    for number in old:
+        storage.delete(spark, f"{folder}/v={number}")
+
+
+def refresh_footers(spark: SparkSession, pattern: str, folder: str) -> list[Row]:
+    """The rows of all files behind ``pattern``; the table in ``folder`` knows them afterwards."""
+    rows, changed = compare_footers(spark, pattern, folder)
+    if changed:
+        store_footers(spark, rows, folder)
+    return rows

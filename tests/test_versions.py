@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from farebox import storage, versions
 from farebox.operators.staging import stage_trips
 from farebox.plans import pipeline
+from farebox.plans.historical import run_historical, update_historical
 from farebox.plans.pipeline import PipelineConfig, QualityError, build_relations, prepare, published, run_for_date
 from farebox.schemas import PICKUP
 from farebox.sources import footers as footer_module
@@ -275,3 +276,31 @@ def test_an_ingested_table_is_pruned_by_month(spark, months, make_trips, tmp_pat
     ingest(spark, months.conf.pattern, "ingested_months", str(tmp_path / "table"))
     assert spark.table("ingested_months").count() == 51
     spark.sql("DROP TABLE ingested_months")
+
+
+def test_the_historical_job_replaces_touched_months_only(spark, months, tmp_path):
+    path, pattern = str(tmp_path / "history"), months.conf.pattern
+    first = months("2023-01", 30, stray="2022-12")
+    months("2023-04", 20)
+
+    def whole():
+        run_historical(spark, pattern, str(tmp_path / "whole"))
+        return sorted(rows(spark.read.parquet(str(tmp_path / "whole"))))
+
+    def files():
+        return {f for f in spark.read.parquet(path).inputFiles()}
+
+    assert update_historical(spark, pattern, path) == [(2022, 12), (2023, 1), (2023, 4)]
+    assert sorted(rows(spark.read.parquet(path))) == whole()
+    before = files()
+    assert update_historical(spark, pattern, path) == [] and files() == before
+    months("2023-02", 10)
+    assert update_historical(spark, pattern, path) == [(2023, 2)]
+    assert before < files() and sorted(rows(spark.read.parquet(path))) == whole()
+    before = {f for f in files() if "month=4/" in f or "month=2/" in f}
+    months("2023-01", 12)  # the stray month has no trips any more
+    assert update_historical(spark, pattern, path) == [(2022, 12), (2023, 1)]
+    assert before < files() and sorted(rows(spark.read.parquet(path))) == whole()
+    storage.delete(spark, first)
+    assert update_historical(spark, pattern, path) == [(2023, 1)]
+    assert sorted(rows(spark.read.parquet(path))) == whole()
