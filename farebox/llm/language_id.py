@@ -194,7 +194,9 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
     Defined cases: ``und`` with score 0 for a null text and a text without a
     letter, and everywhere if no language was learned; a text with letters but without n-grams gets the
     first language with score 0; repeated rows each get the same; a null doc_id
-    is held out as the empty text's checksum says; extra columns are not read.
+    is held out as the empty text's checksum says; of languages with equal shares the first by
+    name is given; texts of any length are counted whole, part by part; extra columns are not
+    read; no rows give no rows.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(filters)
 

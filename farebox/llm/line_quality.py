@@ -260,8 +260,8 @@ def score_texts(docs: DataFrame, field: Field | None) -> DataFrame:
 
     Defined cases: a null or empty text is one empty line and has a score; without a
     field all scores are 0.5; repeated rows each get the same; a null doc_id is held
-    out as the empty text's checksum says; extra columns are not read; no rows give
-    no rows.
+    out as the empty text's checksum says; a score is a number of its own, so ties need no order;
+    all lines of a text of any length count; extra columns are not read; no rows give no rows.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(field)
 

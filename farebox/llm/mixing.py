@@ -133,7 +133,7 @@ def mix(docs: DataFrame, weight: Column | None = None, **options) -> DataFrame:
     Defined cases: a null or empty text has size 0 and gives nothing; a null source
     is a source, last in order; rows that agree in id, key and size are drawn
     together; a null id is an id; a source without words has target 0; extra
-    columns are not read; no rows give no rows.
+    columns are not read; texts of any length are counted whole; no rows give no rows.
     """
     scratch = Scratch(docs.sparkSession, "mix")
     weight = quality_weight() if weight is None else weight
@@ -147,7 +147,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix: one row for each time a document is taken.
 
     The document at the end of a source's budget comes with its first words only,
-    space-joined (n_chars follows, if there). Documents without words don't come.
+    space-joined (n_chars follows, if there). Documents without words don't come. Columns of
+    any names stay as they are; nulls, ties and empty tables are as in ``mix``.
     """
     scratch = Scratch(docs.sparkSession, "mix")
     weight = quality_weight()

@@ -167,7 +167,9 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, sla
 
     Defined cases: a null or empty text has the closing id only; repeated rows are
     packed each; a null doc_id is kept; extra columns are not read; no rows give
-    no rows. All sequences but the last are filled up to ``slack`` ids, unless no
+    no rows; texts of any length are cut into as many pieces as they fill, and documents of equal
+    length are numbered by their row keys, so reruns agree. A special token's string in a text
+    is ordinary text: it never becomes the special id. All sequences but the last are filled up to ``slack`` ids, unless no
     piece is long enough to give the rest.
     """
     path = path or public_tokenizers.path(RANKS)

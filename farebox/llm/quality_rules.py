@@ -253,8 +253,8 @@ def quality_rules(docs: DataFrame, tail: float = TAIL) -> DataFrame:
     Defined cases: a null or empty text has no words and fails; null language or
     source is a value of its own; groups below ``MIN_GROUP`` rows are pooled; the
     spread has a floor, so groups of equal rows have an estimate; repeated rows
-    each count and each get a verdict; extra columns are not read; no rows give
-    no rows.
+    each count and each get a verdict; texts of any length are counted whole; extra columns are
+    not read; no rows give no rows.
     """
     scratch = Scratch(docs.sparkSession, "rules")
     stats, groups, estimates = _fit(docs, scratch)
@@ -262,7 +262,7 @@ def quality_rules(docs: DataFrame, tail: float = TAIL) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, tail: float = TAIL) -> DataFrame:
-    """The rows of ``docs`` that ``quality_rules`` keeps.
+    """The rows of ``docs`` that ``quality_rules`` keeps; columns of any names stay, no rows give no rows.
 
     The counts are taken a second time next to the text, where the few estimates
     come to the rows: cheaper than shuffling all texts to join the verdicts.

@@ -199,7 +199,7 @@ def simhash_groups(
 
     Defined cases: null and word-free texts have fingerprint zero and link like any other;
     repeated rows and ids each give a row; a null doc_id is never the smallest unless the
-    group has no other (then component_id is null); other columns are not read; no rows give no rows.
+    group has no other (then component_id is null); texts of any length are hashed whole; other columns are not read; no rows give no rows.
 
     Equal fingerprints collapse before any comparison, so copies cost one row each.
     """
@@ -223,7 +223,8 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, with one row for each near-duplicate group: that of its smallest doc_id.
 
     Equal smallest ids within a group (repeated rows) leave one of their rows, by
-    the smallest row key; rows that agree in doc_id and text leave one of them.
+    the smallest row key; rows that agree in doc_id and text leave one of them. Columns of any
+    names stay as they are; nulls are as in ``simhash_groups``; no rows give no rows.
     """
     groups = Scratch(docs.sparkSession, "keep")
     found = groups.write(simhash_groups(docs, **options), "groups")

@@ -301,8 +301,9 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     else in ``docs``, the same text included. Strings are judged on the input.
 
     Defined cases: a null text is empty; a text shorter than ``length`` stays
-    whole; repeated rows are copies of each other; a null doc_id is an id like
-    any other; extra columns are not read; no rows give no rows.
+    whole; a text of any length is judged whole, step by step; repeated rows are copies of
+    each other; a null doc_id is an id like any other; extra columns are not read; no rows
+    give no rows.
     """
     out = _result(docs.select("doc_id", "text"), length, True, "row_key", "found")
     return out.select("doc_id", "found.n_bytes", "found.n_removed", "found.n_spans", F.col("found.kept").alias("kept_sha256"))
@@ -311,7 +312,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def dedup_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with repeated strings removed from text (n_chars follows, if there).
 
-    A character that loses some of its bytes goes whole. A null text stays null.
+    A character that loses some of its bytes goes whole. A null text stays null. Columns of any
+    names stay as they are; no rows give no rows.
     """
     row, found = fresh(docs, "row"), fresh(docs, "found")
     out = _result(docs, length, False, row, found)

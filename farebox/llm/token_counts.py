@@ -122,7 +122,7 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     ``MODEL`` are whole numbers, so its sums are exact and independent of how a text is cut.
 
     Defined cases: a null or empty text has 0 tokens; repeated rows each get the
-    same; a null doc_id is kept; extra columns are not read; no rows give no rows.
+    same; texts and words of any length are counted whole; a null doc_id is kept; extra columns are not read; no rows give no rows.
     """
     path = path or public_tokenizers.path(MODEL)
 

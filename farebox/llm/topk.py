@@ -208,7 +208,7 @@ def top_products(vectors: DataFrame, every: int = EVERY, top: int = TOP, pivots:
     none, take no part; vectors of different lengths are no candidates of each
     other; equal scores go to the smaller vec_id; repeated rows are candidates of each other,
     and each is a query; a row with null vec_id is a candidate that comes first among
-    equals and never a query; a component beyond 2^62, or a score without a 64-bit value, is an
+    equals and never a query; vectors of any length are whole; a component beyond 2^62, or a score without a 64-bit value, is an
     error; extra columns are not read; no rows give no rows.
     """
     spark = vectors.sparkSession

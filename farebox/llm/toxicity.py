@@ -245,7 +245,8 @@ def score_texts(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
 
     Defined cases: null and empty texts, and all if the lexicon is empty, score 0;
     repeated rows each get the same; a null doc_id is held out as the empty text's
-    checksum says; extra columns are not read; no rows give no rows.
+    checksum says; a score is a number of its own, so ties need no order; texts of any length
+    are read whole; extra columns are not read; no rows give no rows.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(lexicon)
 

@@ -66,6 +66,32 @@ def test_counts_and_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in out)
 
 
+def test_predictions_equal_brute_force():
+    """Each n-gram looked up by itself, bit by bit, in each language's filter."""
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdeß"), 4)) for _ in range(300)]
+    found = {f"l{i:02}": lid.grams([" ".join(words[i * 3 : i * 3 + 12])])[1] for i in range(70)}
+    f = lid.build_filters(found)
+
+    def holds(gram, i):
+        return all(int(f.slices[i // 64][int(s[0])]) >> i % 64 & 1 for s in lid._slots(np.array([gram], np.uint64), f.slices.shape[1]))
+
+    texts = [" ".join(rng.choice(words, rng.integers(1, 9))) for _ in range(40)] + [None, "", "12 3", "zzzz qqqq"]
+    langs, scores = lid.predict(texts, f)
+    for text, lang, score in zip(texts, langs, scores):
+        if not any(map(str.isalpha, text or "")):
+            assert (lang, score) == ("und", 0)
+            continue
+        grams = lid.grams([text])[1].tolist()
+        share = []
+        for i, chance in enumerate(f.false_positive):
+            hits = sum(holds(g, i) for g in grams)
+            share.append(min(1, max(0, (hits - len(grams) * chance) / (1 - chance) / len(grams))))
+        first, second = sorted(share, reverse=True)[:2]
+        assert lang == f.languages[share.index(first)]
+        assert abs(score - (first * first / (first + second) if first else 0)) < 1e-9
+
+
 def test_nulls_repeats_and_clashing_columns(spark):
     rows = [(1, "the word then there this", "en", "a"), (2, "der die das und nicht", "de", "a"), (2, "der die das und nicht", "de", None), (3, None, "de", "a"), (4, "", None, None), (5, "12 %", "en", "a"), (None, "there this", None, None), (7, "x", "fr", "a")]
     df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA + ", score int")

@@ -1,5 +1,6 @@
 """The whole pipeline against brute-force versions of its stages on a small table."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -65,8 +66,34 @@ def test_stages_and_run(spark):
         pieces[r.doc_id] += r.length
     assert pieces == whole
 
+    # sequences may be numbered otherwise
     rows = lambda df: sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in df.collect())
-    assert sum(r[2] for r in rows(corpus_pipeline.run(spark, sf_dir))) == sum(whole.values())
+    assert rows(corpus_pipeline.run(spark, sf_dir)) == rows(steps["packing"])
+
+
+def test_odd_rows_go_through_all_stages(spark):
+    """Nulls, repeated rows, clashing columns and a long text in one run; clean documents stay."""
+    rng = random.Random(2)
+    text = lambda n: " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) + ("." if i % 12 == 11 else "") for i in range(n))
+    clean = [(i, text(rng.randint(80, 200)), rng.choice(["en", "de", None]), rng.choice(["a", "b", None])) for i in range(60)]
+    long = (100, text(60_000), "en", "a")
+    odd = [(None, None, None, None), (None, "", "en", "a"), (101, None, "en", "a"), (102, "few words", "en", None), clean[0], clean[0], (200, *clean[1][1:]), (None, text(90), None, None)]
+    rows = [*clean, long, *odd]
+    names = "doc_id long, text string, lang string, source string, n_chars long, row_key string, size int, fp long, whole string, spans int, kept int, row long"
+    docs = spark.createDataFrame([(*r, len(r[1] or ""), "k", 1, 2, "w", 3, 4, 5) for r in rows], names)
+    found = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+        found[name] = docs.collect()
+        docs = spark.createDataFrame(found[name], docs.schema)
+        assert name == "packing" or docs.columns == [n.split()[0] for n in names.split(", ")]
+    for name in ("quality_rules", "simhash_near_dedup", "suffix_dedup"):
+        ids = {r.doc_id for r in found[name]}
+        assert ids >= {r[0] for r in clean} | {100} and not ids & {101, 102}
+    assert sorted(r.doc_id for r in found["simhash_near_dedup"] if r.doc_id in (0, 1, 200)) == [0, 1]
+    texts = {r.doc_id: r.text for r in found["suffix_dedup"]}
+    assert all(texts[i] == t for i, t, _, _ in [*clean, long])
+    assert all(0 < r.length <= 2048 for r in found["packing"]) and {r.doc_id for r in found["packing"]} <= set(texts)
 
 
 def test_empty(spark):

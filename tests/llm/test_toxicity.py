@@ -46,6 +46,35 @@ def test_held_out_texts(spark):
     assert len(out) == 10_000 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in out.values())
 
 
+def test_learning_and_scores_equal_brute_force(spark):
+    """Every entry of every text counted one by one, and the measures of evidence taken from their definition."""
+    rng = random.Random(6)
+    clean, bad = [f"word{i}" for i in range(60)], ["vermin", "verminous", "slime", "slimy"]
+    rows = [(" ".join(rng.choices(clean, k=20)), 0) for _ in range(400)]
+    rows += [(" ".join(rng.choices(clean, k=10) + [rng.choice(bad)] + rng.choices(clean, k=9)), 1) for _ in range(60)]
+    lexicon = tox.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"), Scratch(spark, "test"))
+    texts, held = Counter(t for _, t in rows), Counter()
+    for text, t in rows:
+        words = set(tox.fold(text).split())
+        held.update((e, t) for e in {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in tox.STEMS if len(w) > n})
+    want, base = {}, texts[1] / len(rows)
+    for e in {e for e, _ in held}:
+        b, g = held[e, 1], held[e, 0]
+        evidence = 2 * sum(x * math.log(x / ((b + g) * rate)) for x, rate in ((b, base), (g, 1 - base)) if x)
+        if b >= tox.SUPPORT * texts[1] and b >= tox.PRECISION * (b + g) and evidence >= tox.EVIDENCE:
+            want[e] = math.log((b + 0.5) / (texts[1] + 1)) - math.log((g + 0.5) / (texts[0] + 1))
+    assert " vermin" in want or " vermin " in want
+    folded = {e.replace("l", "i"): w for e, w in want.items() if "l" in e and not held[e.replace("l", "i"), 0]}
+    assert lexicon.weights.keys() == (folded | want).keys()
+    assert all(math.isclose(lexicon.weights[e], w) for e, w in (folded | want).items())
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    for r in tox.score_texts(docs, lexicon).collect():
+        total, n = brute_force(rows[r.doc_id][0], lexicon)
+        z = lexicon.fit[0] + lexicon.fit[1] * math.log1p(total) + lexicon.fit[2] * math.log1p(100 * total / (n + 50))
+        assert math.isclose(r.score, 1 / (1 + math.exp(-max(-50, min(50, z)))) if total > 0 else 0, abs_tol=1e-9)
+        assert r.predicted == rows[r.doc_id][1]
+
+
 def test_learned_exceptions(spark):
     rows = [(f"a b{i} trash c", 1) for i in range(20)] + [(f"d{i} trash can e", 0) for i in range(1)] + [(f"x y{i} z", 0) for i in range(300)]
     rows += [(f"the trash can {i}", 0) for i in range(5)] + [(None, 1), ("q", None)]
