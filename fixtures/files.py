@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from datetime import datetime
@@ -28,7 +29,7 @@ MONTH_FOLDER = "month={month}"
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the session names for shared files; on one machine, and only there, a temporary one will do."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local["):
+    if not shared and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return shared or tempfile.mkdtemp(prefix="farebox-")
 
