@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, functions as F
 
 PICKUP_MONTH = ("pickup_year", "pickup_month")
 
+# Trips that one bucket holds, about, and the number of buckets: Spark allows no more than the latter bound.
+BUCKET_ROWS = 500_000
+MIN_BUCKETS, MAX_BUCKETS = 8, 100_000
+
 
 def publish_view(df: DataFrame, name: str) -> None:
     """Make a relation queryable by name; it is recomputed at each use."""
@@ -49,14 +53,20 @@ def replace_monthly(daily: DataFrame, path: str) -> None:
     writer.partitionBy(*PICKUP_MONTH).parquet(path)
 
 
+def bucket_number(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Buckets for a table of so many rows: a bucket's size stays the same, however large the table."""
+    return min(max(-(-rows // bucket_rows), MIN_BUCKETS), MAX_BUCKETS)
+
+
 def save_by_zone_day(trips: DataFrame, name: str, buckets: int, path: str | None = None) -> None:
     """Replace a catalog table of trips bucketed by pickup zone and date, in order of the pickup.
 
     Windows and counts per zone and day then need no shuffle, at any number of reads. A bucket
-    is one task of a read, so ``buckets`` sets its size: some hundred MB each.
+    is one task of a read, so ``buckets`` sets its size, and must follow that of the table
+    (``bucket_number``). Trips of one zone and day share a bucket.
     """
     dated = trips.withColumn("trip_date", F.to_date("pickup_datetime"))
     keys = ["pickup_zone", "trip_date"]
-    # one file per bucket: each task has whole buckets
-    writer = dated.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys, "pickup_datetime")
+    # Dealt by bucket, so a bucket is one file; rebalancing gives a task several small ones, or a part of one with a hot zone and day.
+    writer = dated.hint("rebalance", buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys, "pickup_datetime")
     (writer.option("path", path) if path else writer).saveAsTable(name)

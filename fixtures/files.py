@@ -17,7 +17,7 @@ from farebox.plans.analytics import max_gap_by_zone_day
 from farebox.plans.historical import run_historical
 from farebox.plans.pipeline import PipelineConfig, build_relations
 from farebox.schemas import PICKUP
-from farebox.sinks import save_by_zone_day
+from farebox.sinks import BUCKET_ROWS, bucket_number, save_by_zone_day
 from farebox.sources.checks import freshness, newest_pickup
 from farebox.sources.footers import refresh_footers
 from farebox.sources.trips import ingest, registered_table
@@ -100,11 +100,11 @@ def ingested(spark: SparkSession, sf_dir: str, high_volume: int, start: str, end
     return stage_trips(table.where(inside))
 
 
-def clustered_gaps(trips: DataFrame, start: str, end: str, buckets: int = 8) -> DataFrame:
-    """The longest gaps, from a table bucketed by zone and date."""
+def clustered_gaps(trips: DataFrame, start: str, end: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """The longest gaps, from a table bucketed by zone and date; the trips are counted first, to have enough buckets."""
     spark = trips.sparkSession
     name = f"zone_days_{uuid.uuid4().hex}"
-    save_by_zone_day(trips, name, buckets, f"{shared_folder(spark)}/{name}")
+    save_by_zone_day(trips, name, bucket_number(trips.count(), bucket_rows), f"{shared_folder(spark)}/{name}")
     return max_gap_by_zone_day(spark.table(name), None, start, end)
 
 

@@ -5,7 +5,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 
 from farebox.operators.gaps import max_gaps, merge_runs, minute_runs
 from farebox.plans.analytics import max_gap_by_zone_day
-from farebox.sinks import save_by_zone_day
+from farebox.sinks import bucket_number, save_by_zone_day
+from fixtures.files import clustered_gaps
 from tests.conftest import at, plan_of, rows
 
 SCHEMA = "pickup_zone string, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz"
@@ -138,3 +139,52 @@ def test_a_table_by_zone_and_day_is_read_without_a_shuffle(spark, tmp_path):
     assert plan.count("Exchange") == 1 and "Exchange rangepartitioning(trip_date" in plan and "Bucketed: true" in plan
     assert sorted(rows(found), key=str) == sorted(rows(max_gap_by_zone_day(trips)), key=str)
     spark.sql("DROP TABLE zone_days")
+
+
+def test_buckets_follow_the_number_of_trips():
+    assert [bucket_number(n, 500) for n in (0, 1, 4_000, 4_001, 20_000, 10**12)] == [8, 8, 8, 9, 40, 100_000]
+
+
+def made_tables(spark, prefix="zone_days"):
+    return {table.name for table in spark.catalog.listTables() if table.name.startswith(prefix)}
+
+
+def test_a_larger_table_has_more_buckets_and_not_larger_ones(spark):
+    """Ten times the trips: a bucket, the rows that one task writes and reads, stays as small."""
+    found, before = {}, made_tables(spark)
+    for n in (4_000, 40_000):
+        trips = spark.range(n).selectExpr(
+            "IF(id % 25 = 0, NULL, CONCAT('zone ', id % 25)) AS pickup_zone",
+            "timestampadd(SECOND, CAST(id * 7919 % 31536000 AS INT), TIMESTAMP_NTZ'2023-01-01 00:00:00') AS pickup_datetime",
+            "timestampadd(SECOND, CAST(id * 7919 % 31536000 + id % 7200 AS INT), TIMESTAMP_NTZ'2023-01-01 00:00:00') AS dropoff_datetime",
+        )
+        gaps = clustered_gaps(trips, "2023-01-01", "2024-01-01", bucket_rows=500)
+        assert sorted(rows(gaps), key=str) == sorted(rows(max_gap_by_zone_day(trips)), key=str)
+        name = (made_tables(spark) - before).pop()
+        table = spark.table(name)
+        files = rows(table.groupBy("_metadata.file_name").count())
+        assert sum(count for _, count in files) == n
+        found[n] = len(files), max(count for _, count in files)
+        spark.sql(f"DROP TABLE {name}")
+    assert found[4_000][0] == 8 and found[40_000][0] == 80
+    assert max(most for _, most in found.values()) < 1_000
+
+
+def test_a_hot_zone_and_day_is_written_by_several_tasks(spark, tmp_path):
+    trips = spark.range(60_000).repartition(12).selectExpr(
+        "'hot' AS pickup_zone",
+        "timestampadd(SECOND, CAST(id * 7919 % 86400 AS INT), TIMESTAMP_NTZ'2023-01-05 00:00:00') AS pickup_datetime",
+        "timestampadd(SECOND, CAST(id * 7919 % 86400 + id % 600 AS INT), TIMESTAMP_NTZ'2023-01-05 00:00:00') AS dropoff_datetime",
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "64k")
+    try:
+        save_by_zone_day(trips, "hot_days", 8, str(tmp_path / "hot_days"))
+        table = spark.table("hot_days")
+        most = max(count for _, count in rows(table.groupBy("_metadata.file_name").count()))
+        assert most <= 20_000
+        found = max_gap_by_zone_day(table, None, "2023-01-01", "2024-01-01")
+        assert rows(found) == rows(max_gap_by_zone_day(trips)) and len(rows(found)) == 1
+    finally:
+        spark.conf.unset(size)
+        spark.sql("DROP TABLE IF EXISTS hot_days")
